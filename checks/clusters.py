@@ -10,6 +10,7 @@ from checks.registry import check, rounded, with_sql
 from tripmill.functions import bins
 from tripmill.models import clustering, prep
 from tripmill.operators import metrics
+from tripmill.operators.dbscan import dbscan
 from tripmill.operators.features import add_features, add_study_features
 
 SCALED = ["trip_distance", "fare_amount", "passenger_count"]
@@ -100,3 +101,31 @@ def sweep_k(spark, folder):
 def principal_plane(spark, folder):
     study = add_study_features(_clustered(spark, folder))
     return clustering.principal_plane(study, ["trip_distance", "fare_amount", "cost_per_mile"], ["trip_key", "cluster", "fare_category"])
+
+
+DENSE = ["trip_distance", "fare_amount", "cost_per_mile"]
+EPS, LEAST = 0.15, 10
+OFFSETS = "o AS (SELECT unnest([-1, 0, 1]) AS d)"
+
+
+@check(
+    "m13_dbscan",
+    with_sql(
+        fx.TRIPS,
+        "f AS (SELECT trip_distance, fare_amount, fare_amount / greatest(trip_distance, 0.1::DOUBLE) AS cost_per_mile FROM trips)",
+        "z AS (SELECT row_number() OVER () AS id, " + ", ".join(f"{_z(c, 'f')} AS {n}" for c, n in zip(DENSE, "xyw", strict=True)) + " FROM f)",
+        f"g AS (SELECT *, floor(x / {EPS})::BIGINT AS i, floor(y / {EPS})::BIGINT AS j, floor(w / {EPS})::BIGINT AS k FROM z)",
+        OFFSETS,
+        "l AS (SELECT g.*, i + a.d AS ni, j + b.d AS nj, k + c.d AS nk FROM g, o a, o b, o c)",
+        "p AS (SELECT l.id AS one, g.id AS two FROM l JOIN g ON ni = g.i AND nj = g.j AND nk = g.k "
+        f"WHERE (l.x - g.x) ** 2 + (l.y - g.y) ** 2 + (l.w - g.w) ** 2 <= {EPS * EPS})",
+        f"core AS (SELECT one AS id FROM p GROUP BY 1 HAVING count(*) >= {LEAST})",
+        "border AS (SELECT DISTINCT one AS id FROM p SEMI JOIN core ON two = core.id ANTI JOIN core c ON one = c.id)",
+    )
+    + "SELECT CASE WHEN id IN (FROM core) THEN 'core' WHEN id IN (FROM border) THEN 'border' ELSE 'noise' END AS kind, count(*) AS trips FROM z GROUP BY 1",
+)
+def density_clusters(spark, folder):
+    scaled = clustering.scaled_features(add_study_features(fx.trips(spark, folder)), DENSE)
+    found = dbscan(scaled, [f"{c}_z" for c in DENSE], EPS, LEAST)
+    kind = F.when(F.col("is_core"), "core").when(F.col("cluster") >= 0, "border").otherwise("noise")
+    return found.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("trips"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,19 +25,24 @@ def build_session(app: str = "tripmill", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names; a local one only when the session runs on one machine."""
+    folder = spark.conf.get(CHECKPOINT_KEY, None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a shared folder")
+        folder = tempfile.mkdtemp(prefix="tripmill-checkpoint-")
+        spark.conf.set(CHECKPOINT_KEY, folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the cluster's shared folder.
+    """The rows written to the checkpoint folder and read back.
 
-    Iterative jobs call this once a round. The folder comes from the session; a
-    local one is used only when the session runs on one machine and names none.
+    Iterative jobs call this once a round: the rows are computed once, survive lost
+    executors, and come back with known sizes, so the planner picks joins by size.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get(CHECKPOINT_KEY, None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError(f"set {CHECKPOINT_KEY} to a shared folder")
-            folder = tempfile.mkdtemp(prefix="tripmill-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{checkpoint_folder(spark)}/tripmill-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
