@@ -104,7 +104,7 @@ def principal_plane(spark, folder):
 
 
 DENSE = ["trip_distance", "fare_amount", "cost_per_mile"]
-EPS, LEAST = 0.15, 10
+EPS, LEAST = 0.05, 10
 OFFSETS = "o AS (SELECT unnest([-1, 0, 1]) AS d)"
 
 

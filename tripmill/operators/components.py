@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tripmill.session import cut_lineage
 
+STARS_PER_CUT = 2
+
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -31,13 +33,15 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``node, component`` for ``nodes(node)`` and ``edges(a, b)``; a component is named by its smallest node.
 
     Alternating star contraction: the rounds grow with the logarithm of the number
-    of nodes, not with the length of paths. Each round is written to the
-    checkpoint folder.
+    of nodes, not with the length of paths. Every few rounds are
+    written to the checkpoint folder.
     """
     current = cut_lineage(edges.filter("a <> b").distinct())
     state = None
     while True:
-        current = cut_lineage(_small_star(_large_star(current)))
+        for _ in range(STARS_PER_CUT):
+            current = _small_star(_large_star(current))
+        current = cut_lineage(current)
         row = current.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if tuple(row) == state:
             break

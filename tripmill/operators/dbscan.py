@@ -27,7 +27,7 @@ SLACK = 0.999
 # Halvings after which the points themselves are compared.
 LAST_LEVEL = 40
 # Open boxes that hold no more pairs of points than this are settled by the points at once.
-PAIR_BUDGET = 20_000_000
+PAIR_BUDGET = 1_000_000
 # Dimensions that take part in finding near cells; the others are checked by distance.
 GRID_DIMENSIONS = 5
 
@@ -157,26 +157,47 @@ def _core_points(grid: _Grid, pairs: DataFrame, points: DataFrame, least: int) -
         pairs = _halve(grid, pairs, points, "r", above, level, "w")
 
 
-def _linked(grid: _Grid, pairs: DataFrame, ids: Sequence[str], right: DataFrame, left: DataFrame | None) -> DataFrame:
-    """The ids of pairs that hold at least one pair of neighbours.
+def _merge_cells(grid: _Grid, pairs: DataFrame, core: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, component`` of core cells, from ``pairs(a, b, l_*, r_*)`` of near cells.
 
-    A pair is settled by the first boxes surely within reach. Without ``left`` the
-    left side is a single point.
+    Cells are merged as soon as boxes are surely within reach. Pairs already in one
+    component are dropped before the rest is halved, which leaves the few pairs
+    along the gaps between clusters.
+    """
+    named = nodes.withColumn("component", F.col("node"))
+    level = 0
+    while True:
+        judged = cut_lineage(grid.judge(pairs))
+        links = judged.filter("sure").select("a", "b")
+        known = named.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        named = cut_lineage(connected_components(nodes, links.unionByName(known)))
+        pairs = judged.filter("not sure").drop("sure")
+        for end in ("a", "b"):
+            pairs = pairs.join(named.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in")), end)
+        pairs = cut_lineage(pairs.filter("a_in <> b_in").drop("a_in", "b_in"))
+        above, level = level, _next_level(pairs, level)
+        if level is None:
+            return named
+        pairs = grid.judge(_halve(grid, pairs, core, "r", above, level)).drop("sure")
+        pairs = _halve(grid, pairs, core, "l", above, level)
+
+
+def _reached(grid: _Grid, pairs: DataFrame, ids: Sequence[str], core: DataFrame) -> DataFrame:
+    """The ids of point and cell pairs with a core point of the cell within reach of the point.
+
+    A pair is settled by the first box surely within reach.
     """
     found, level = None, 0
     each = Window.partitionBy(*ids)
     while True:
-        judged = grid.judge(pairs).withColumn("linked", F.max("sure").over(each))
-        judged = cut_lineage(judged)
+        judged = cut_lineage(grid.judge(pairs).withColumn("linked", F.max("sure").over(each)))
         done = judged.filter("linked").select(*ids).distinct()
         found = done if found is None else found.unionByName(done)
         pairs = judged.filter("not linked").drop("linked", "sure")
         above, level = level, _next_level(pairs, level)
         if level is None:
             return found
-        pairs = grid.judge(_halve(grid, pairs, right, "r", above, level)).drop("sure")
-        if left is not None:
-            pairs = _halve(grid, pairs, left, "l", above, level)
+        pairs = _halve(grid, pairs, core, "r", above, level)
 
 
 def dbscan(df: DataFrame, features: Sequence[str], eps: float = 0.5, min_points: int = 10) -> DataFrame:
@@ -214,8 +235,7 @@ def dbscan(df: DataFrame, features: Sequence[str], eps: float = 0.5, min_points:
     core_cells = cut_lineage(grid.boxes(core, 0))
     touching = grid.near(core_cells, core_cells).filter("l_key < r_key").drop("r_w")
     touching = touching.withColumns({"a": F.col("l_key"), "b": F.col("r_key")})
-    edges = _linked(grid, touching, ["a", "b"], core, core)
-    named = cut_lineage(connected_components(core_cells.select(F.col("key").alias("node")), edges))
+    named = _merge_cells(grid, touching, core, core_cells.select(F.col("key").alias("node")))
     roots = number_rows(named.select("component").distinct(), "component", name="cluster", start=0)
     labels = cut_lineage(named.join(roots, "component").select(F.col("node").alias("cell"), "cluster"))
 
@@ -223,7 +243,7 @@ def dbscan(df: DataFrame, features: Sequence[str], eps: float = 0.5, min_points:
     beside = grid.near(cells.filter(F.col("w") < min_points), core_cells).drop("r_w", *at)
     beside = edge_points.withColumnRenamed("cell", "l_key").join(beside, "l_key").withColumns(at)
     beside = beside.withColumn("cell", F.col("r_key")).drop("l_key")
-    reached = _linked(grid, beside, [*grid.x, "cell"], core, None)
+    reached = _reached(grid, beside, [*grid.x, "cell"], core)
     # Points of one cell are neighbours, so a core point in the own cell is in reach.
     border = (
         reached.unionByName(edge_points.select(*grid.x, "cell"))

@@ -93,8 +93,10 @@ def _narrow(frame: DataFrame, ranges: Sequence[_Range], found: dict) -> list[_Ra
 
 def select_ranks(frame: DataFrame, ranges: Sequence[_Range]) -> dict[str, dict[int, float]]:
     """Values at 0-based ranks of ``frame(grp, val)``, one start range per group."""
-    found: dict[str, dict[int, float]] = {one.group: {} for one in ranges}
-    active = list(ranges)
+    found: dict[str, dict[int, float]] = {
+        one.group: dict.fromkeys(one.ranks, one.low) if one.low == one.high else {} for one in ranges
+    }
+    active = [one for one in ranges if one.low < one.high]
     while active:
         small = [one for one in active if one.rows <= FINISH_ROWS]
         large = [one for one in active if one.rows > FINISH_ROWS]
