@@ -232,7 +232,9 @@ def training_features(spark, folder):
     f"{fx.TIME_OF_DAY.format(h=HOUR)} AS time_of_day, PULocationID = DOLocationID AS is_same_location, {FARE} AS fare_category FROM routes, cuts",
 )
 def study_features(spark, folder):
-    made = features.add_study_features(fx.routes(spark, folder))
+    # Every trip has its route, so the cut points of the trips are those of the routes.
+    cuts = features.fare_cuts(fx.trips(spark, folder))
+    made = features.add_study_features(fx.routes(spark, folder), cuts=cuts)
     return made.select(
         "trip_key", "cost_per_mile", "distance_category", "passenger_group", "payment_category", "pickup_hour",
         "pickup_day", "pickup_dayofweek", "is_weekend", "time_of_day", "is_same_location", "fare_category",

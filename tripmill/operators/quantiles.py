@@ -52,6 +52,11 @@ def _tag(frame: DataFrame, ranges: Sequence[_Range], value) -> DataFrame:
     return frame.select("val", which.alias("rng"), what.alias("key")).filter("rng is not null")
 
 
+def _bucket_counts(frame: DataFrame, *keys) -> DataFrame:
+    values = [F.count(F.lit(1)).alias("n"), F.min("val").alias("lo"), F.max("val").alias("hi")]
+    return frame.groupBy(*keys).agg(*values)
+
+
 def _finish(frame: DataFrame, ranges: Sequence[_Range], found: dict) -> None:
     tagged = _tag(frame, ranges, lambda _: F.col("val"))
     rows = tagged.groupBy("rng", "key").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -69,11 +74,7 @@ def _finish(frame: DataFrame, ranges: Sequence[_Range], found: dict) -> None:
 
 def _narrow(frame: DataFrame, ranges: Sequence[_Range], found: dict) -> list[_Range]:
     tagged = _tag(frame, ranges, lambda one: one.bucket())
-    rows = (
-        tagged.groupBy("rng", "key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("val").alias("lo"), F.max("val").alias("hi"))
-        .collect()
-    )
+    rows = _bucket_counts(tagged, "rng", "key").collect()
     rows.sort(key=lambda row: (row["rng"], row["key"]))
     seen: dict[int, int] = {}
     left = []
@@ -108,11 +109,7 @@ def select_ranks(frame: DataFrame, ranges: Sequence[_Range]) -> dict[str, dict[i
 
 def group_sizes(frame: DataFrame) -> dict[str, tuple[int, float, float]]:
     """Rows, smallest and largest value of each group of ``frame(grp, val)``."""
-    rows = (
-        frame.groupBy("grp")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("val").alias("lo"), F.max("val").alias("hi"))
-        .collect()
-    )
+    rows = _bucket_counts(frame, "grp").collect()
     return {row["grp"]: (row["n"], row["lo"], row["hi"]) for row in rows}
 
 
@@ -169,18 +166,35 @@ def approximate_quantiles(df: DataFrame, column: str, probabilities: Sequence[fl
     return row["q"]
 
 
-def nth_smallest(df: DataFrame, group: Column, value: Column, nth) -> dict[str, float]:
+def nth_smallest(
+    df: DataFrame, group: Column, value: Column, nth, bounds: tuple[float, float] | None = None
+) -> dict[str, float]:
     """Per group, the value at a 0-based rank chosen from the group's row count.
 
-    ``nth(rows)`` returns the rank, or None to skip the group.
+    ``nth(rows)`` returns the rank, or None to skip the group. Known ``bounds`` of
+    the values save the pass that looks for them.
     """
-    frame = df.select(group.cast("string").alias("grp"), value.cast("double").alias("val"))
+    # inline() keeps filters behind it, so a costly value is worked out once per row.
+    cell = F.struct(group.cast("string").alias("grp"), value.cast("double").alias("val"))
+    frame = df.select(F.inline(F.array(cell)))
     frame = frame.filter(F.col("grp").isNotNull() & F.col("val").isNotNull())
     starts = []
-    for name, (n, low, high) in group_sizes(frame).items():
-        rank = nth(n)
-        if rank is not None:
-            starts.append(_Range(name, low, high, 0, n, (rank,)))
+    if bounds is None:
+        for name, (n, low, high) in group_sizes(frame).items():
+            rank = nth(n)
+            if rank is not None:
+                starts.append(_Range(name, low, high, 0, n, (rank,)))
+    else:
+        counted: dict[str, list] = {}
+        bucket = _Range("", *bounds, 0, 0, ()).bucket()
+        for row in _bucket_counts(frame, "grp", bucket.alias("key")).collect():
+            counted.setdefault(row["grp"], []).append((row["key"], row["n"], row["lo"], row["hi"]))
+        for name, buckets in counted.items():
+            rank, seen = nth(sum(n for _, n, _, _ in buckets)), 0
+            for _, n, low, high in sorted(buckets):
+                if rank is not None and seen <= rank < seen + n:
+                    starts.append(_Range(name, low, high, seen, n, (rank,)))
+                seen += n
     return {name: next(iter(at.values())) for name, at in select_ranks(frame, starts).items()}
 
 

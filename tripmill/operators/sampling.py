@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.functions.hashing import hash48, hash_bucket
+from tripmill.functions.hashing import HASH_BITS, hash48, hash_bucket
 from tripmill.operators.quantiles import nth_smallest
 
 # Up to this many rows the top-n operator of the plan does the work.
 TOP_ROWS = 100_000
+HASH_BOUNDS = (0.0, float(2**HASH_BITS))
 
 
 def random_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
@@ -24,7 +24,8 @@ def sample_rows(df: DataFrame, n: int, key: str) -> DataFrame:
     """The n rows with the smallest key hash, or all when there are fewer."""
     if n <= TOP_ROWS:
         return df.orderBy(hash48(F.col(key)), F.col(key)).limit(n)
-    cut = nth_smallest(df, F.lit("all"), hash48(F.col(key)), lambda rows: n - 1 if n <= rows else None)
+    rank = lambda rows: n - 1 if n <= rows else None
+    cut = nth_smallest(df, F.lit("all"), hash48(F.col(key)), rank, HASH_BOUNDS)
     if not cut:
         return df
     limit = F.lit(int(cut["all"]))
@@ -63,7 +64,10 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.8) ->
     rows are ever gathered or sorted in one task. Rows without a label go to the test side.
     """
     position = hash48(F.col(key))
-    cuts = nth_smallest(df, F.col(label), position, lambda rows: training_share(rows, share))
-    tests = [(F.col(label).cast("string") == name) & (position <= F.lit(int(cut))) for name, cut in cuts.items()]
-    train = F.coalesce(reduce(lambda a, b: a | b, tests, F.lit(False)), F.lit(False))
+    cuts = nth_smallest(df, F.col(label), position, lambda rows: training_share(rows, share), HASH_BOUNDS)
+    # One comparison with the label's own cut: the hash is worked out once per row.
+    cut_of_label = F.lit(None).cast("bigint")
+    for name, cut in cuts.items():
+        cut_of_label = F.when(F.col(label).cast("string") == name, F.lit(int(cut))).otherwise(cut_of_label)
+    train = F.coalesce(position <= cut_of_label, F.lit(False))
     return df.filter(train), df.filter(~train)
