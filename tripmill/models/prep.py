@@ -150,14 +150,7 @@ def feature_lists(columns: Sequence[str], leak_safe: bool = True) -> tuple[list[
     return categorical, numeric
 
 
-def encode_labels(df: DataFrame, column: str, output: str = "label", labels: Sequence[str] | None = None) -> DataFrame:
-    """Alphabetical label numbers; NULL for a label not listed."""
-    model = label_indexer(df, column, output, labels)
-    return model.transform(df)
-
-
-def label_indexer(df: DataFrame, column: str, output: str = "label", labels: Sequence[str] | None = None) -> StringIndexerModel:
-    if labels is not None:
-        return StringIndexerModel.from_labels(sorted(labels), inputCol=column, outputCol=output, handleInvalid="skip")
+def label_indexer(df: DataFrame, column: str, output: str = "label") -> StringIndexerModel:
+    """Label numbers in alphabetical order."""
     indexer = StringIndexer(inputCol=column, outputCol=output, stringOrderType="alphabetAsc", handleInvalid="skip")
     return indexer.fit(df)

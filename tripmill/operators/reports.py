@@ -37,17 +37,13 @@ def passenger_group_report(df: DataFrame) -> DataFrame:
 
 
 def top_zones(df: DataFrame, k: int = 10) -> DataFrame:
-    """The k busiest pickup zones and the k busiest dropoff zones."""
-    ends = F.array(
-        F.struct(F.lit("pickup").alias("end"), F.col("PULocationID").alias("zone")),
-        F.struct(F.lit("dropoff").alias("end"), F.col("DOLocationID").alias("zone")),
-    )
-    counted = df.select(F.inline(ends)).groupBy("end", "zone").agg(F.count(F.lit(1)).alias("trips"))
-    pickups, dropoffs = (
-        counted.filter(F.col("end") == end).orderBy(F.desc("trips"), F.asc("zone")).limit(k)
-        for end in ("pickup", "dropoff")
-    )
-    return pickups.unionByName(dropoffs)
+    """The k busiest pickup zones and the k busiest dropoff zones; each side reads one column."""
+    sides = []
+    for end, column in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
+        counted = df.groupBy(F.col(column).alias("zone")).agg(F.count(F.lit(1)).alias("trips"))
+        top = counted.orderBy(F.desc("trips"), F.asc("zone")).limit(k)
+        sides.append(top.select(F.lit(end).alias("end"), "zone", "trips"))
+    return sides[0].unionByName(sides[1])
 
 
 def route_table(df: DataFrame) -> DataFrame:

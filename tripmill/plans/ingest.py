@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def load_trips(
     for table, token in tables.items():
         try:
             scanned = scan_years(spark, directory, token, start_year, end_year)
-        except Exception as failure:  # a kind without files has no schema to infer
+        except AnalysisException as failure:  # a kind without files has no schema to infer
             if "UNABLE_TO_INFER_SCHEMA" in str(failure):
                 continue
             raise
