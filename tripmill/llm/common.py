@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
+import tripmill
 from tripmill.session import checkpoint_folder
 
 #: Words, as a Java and as a Python pattern; ``bytes.split()`` cuts at the same characters.
@@ -54,6 +58,22 @@ def written(df: DataFrame) -> DataFrame:
     return Table(df).rows
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each Spark context.
+
+    They then import it wherever the driver was started and however it found the package.
+    """
+    context = spark.sparkContext
+    if any(name.startswith("tripmill-") for name in context._python_includes):
+        return
+    package = Path(tripmill.__file__).parent
+    place = Path(tempfile.mkdtemp(prefix="tripmill-code-")) / f"tripmill-{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(place, "w") as code:
+        for file in sorted(package.rglob("*.py")):
+            code.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(place))
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
@@ -80,5 +100,6 @@ def per_text(
             kept = [batch.column(f"keep{i}__") for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*kept, *[pa.array(column, kinds[i]) for i, column in enumerate(made)]], names)
 
+    ship(df.sparkSession)
     narrow = df.select(*[F.col(name).alias(f"keep{i}__") for i, name in enumerate(keep)], F.col(text).alias("text__"))
     return narrow.mapInArrow(rows, StructType([*df.select(*keep).schema.fields, *made_fields]))

@@ -5,11 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripmill.llm import bpe
+from tripmill.llm import bpe, simhash, toxicity, unigram
 from tripmill.llm.common import read
 
 
+def op1_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash.group_documents(read(spark, folder, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op2_unigram_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return unigram.token_counts(read(spark, folder, "documents"), ["doc_id"])
+
+
+def op3_toxic_severity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.severity_of_labelled(read(spark, folder, "documents"), read(spark, folder, "labels"), ["doc_id"])
+    return scored.withColumn("toxic", F.col("toxic_chance") >= toxicity.REJECT)
+
+
 def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(read(spark, folder, "documents"), ["doc_id"])
 
@@ -17,6 +32,9 @@ def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op1_simhash_groups,
+        op2_unigram_tokens,
+        op3_toxic_severity,
         op9_bpe_codec,
     )
 }
