@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, simhash, toxicity, unigram
+from tripmill.llm import bpe, fertility, mixing, simhash, toxicity, unigram
 from tripmill.llm.common import read
 
 
@@ -25,17 +25,27 @@ def op3_toxic_severity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("toxic", F.col("toxic_chance") >= toxicity.REJECT)
 
 
+def op4_pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(read(spark, folder, "documents"))
+
+
 def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(read(spark, folder, "documents"), ["doc_id"])
 
 
+def op10_token_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    return fertility.judged(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_simhash_groups,
         op2_unigram_tokens,
         op3_toxic_severity,
+        op4_pivotal_mix,
         op9_bpe_codec,
+        op10_token_fertility,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
