@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, fertility, mixing, simhash, toxicity, unigram
+from tripmill.llm import bpe, fertility, mixing, sharding, simhash, toxicity, unigram
 from tripmill.llm.common import read
 
 
@@ -29,6 +29,10 @@ def op4_pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(read(spark, folder, "documents"))
 
 
+def op5_vector_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(read(spark, folder, "documents"))
+
+
 def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(read(spark, folder, "documents"), ["doc_id"])
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_unigram_tokens,
         op3_toxic_severity,
         op4_pivotal_mix,
+        op5_vector_shards,
         op9_bpe_codec,
         op10_token_fertility,
     )
