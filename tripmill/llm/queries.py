@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, fertility, mixing, sharding, simhash, toxicity, unigram
+from tripmill.llm import bpe, chat, fertility, mixing, sharding, simhash, toxicity, unigram
 from tripmill.llm.common import read
 
 
@@ -33,6 +33,17 @@ def op5_vector_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(read(spark, folder, "documents"))
 
 
+HARD_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op6_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one, -7, whose two texts hold the marks of a template."""
+    rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    roles = F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("turn"), F.lit(role).alias("role")) for i, role in enumerate(("user", "assistant"))]))
+    hard = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), roles.alias("one")).select("conv_id", "one.*", F.lit(HARD_TEXT).alias("text"))
+    return chat.digests(chat.conversations(chat.in_turn_order(rows.unionByName(hard))))
+
+
 def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(read(spark, folder, "documents"), ["doc_id"])
 
@@ -49,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_toxic_severity,
         op4_pivotal_mix,
         op5_vector_shards,
+        op6_reply_trees,
         op9_bpe_codec,
         op10_token_fertility,
     )
