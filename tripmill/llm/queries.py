@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, chat, fertility, mixing, sharding, simhash, toxicity, unigram
+from tripmill.llm import bpe, chat, fertility, html, mixing, sharding, simhash, toxicity, unigram
 from tripmill.llm.common import read
 
 
@@ -44,6 +44,10 @@ def op6_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.conversations(chat.in_turn_order(rows.unionByName(hard))))
 
 
+def op7_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.main_text(read(spark, folder, "pages"))
+
+
 def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(read(spark, folder, "documents"), ["doc_id"])
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_pivotal_mix,
         op5_vector_shards,
         op6_reply_trees,
+        op7_page_text,
         op9_bpe_codec,
         op10_token_fertility,
     )
