@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, chat, fertility, html, mixing, sharding, simhash, toxicity, unigram
+from tripmill.llm import ann, bpe, chat, fertility, html, mixing, sharding, simhash, toxicity, unigram
 from tripmill.llm.common import read
 
 
@@ -48,6 +48,10 @@ def op7_page_text(spark: SparkSession, folder: str) -> DataFrame:
     return html.main_text(read(spark, folder, "pages"))
 
 
+def op8_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(read(spark, folder, "documents"), ["doc_id"])
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_vector_shards,
         op6_reply_trees,
         op7_page_text,
+        op8_learned_partitions,
         op9_bpe_codec,
         op10_token_fertility,
     )
