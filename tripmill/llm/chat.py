@@ -40,7 +40,8 @@ def escape_role(role: Column) -> Column:
 def _jumps(nodes: DataFrame) -> tuple[DataFrame, list[Table]]:
     """Every node's depth and the summed score of its path; and, for each k, who stands 2^k above whom.
 
-    ``nodes``: tree, node, parent, score; parents exist. Each round joins the jumps with themselves and doubles them.
+    ``nodes``: tree, node, parent, score; parents exist. Each round joins the jumps with themselves and doubles them;
+    messages whose jump has passed the root are done and only stand as others' targets.
     A cycle, which no round ends, is cut above its smallest node.
     """
     largest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
@@ -52,16 +53,16 @@ def _jumps(nodes: DataFrame) -> tuple[DataFrame, list[Table]]:
             return now.rows.select("tree", "node", depth.alias("depth"), "score"), tables
         up = now.rows.select(*[F.col(c).alias(f"up_{c}") for c in now.rows.columns])
         same = (F.col("tree") == F.col("up_tree")) & (F.col("above") == F.col("up_node"))
-        now = Table(
-            now.rows.join(up, same, "left").select(
-                "tree",
-                "node",
-                F.col("up_above").alias("above"),
-                (F.col("steps") + F.coalesce("up_steps", F.lit(0))).alias("steps"),
-                (F.col("score") + F.coalesce("up_score", F.lit(0.0))).alias("score"),
-                F.least("least", "up_least").alias("least"),
-            )
+        arrived, pending = now.rows.where("above IS NULL"), now.rows.where("above IS NOT NULL")
+        doubled = pending.join(up, same, "left").select(
+            "tree",
+            "node",
+            F.col("up_above").alias("above"),
+            (F.col("steps") + F.coalesce("up_steps", F.lit(0))).alias("steps"),
+            (F.col("score") + F.coalesce("up_score", F.lit(0.0))).alias("score"),
+            F.least("least", "up_least").alias("least"),
         )
+        now = Table(arrived.unionByName(doubled))
         tables.append(now)
     cut = now.rows.where("above IS NOT NULL AND node = least").select(F.col("tree").alias("cut_tree"), F.col("node").alias("cut_node"))
     same = (F.col("tree") == F.col("cut_tree")) & (F.col("node") == F.col("cut_node"))
