@@ -1,23 +1,60 @@
-"""The corpus pipeline: stages over the documents table, each written and read again by the next."""
+"""The corpus pipeline: stages over the documents table, each written and read again by the next.
+
+Each stage takes all that the one before kept, with its own columns, whatever else they are called. Empty tables go
+through all stages; null keys, sources, languages and texts are values as the operators define them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripmill.llm import bpe
+from tripmill.llm import bpe, fertility, mixing, near, toxicity
 from tripmill.llm.common import read, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def encoding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Token ids of every text that is left."""
-    return bpe.encode(docs, docs.columns)
+def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the quality rules keep. Rows equal in all columns share a verdict, so they are matched by content."""
+    named = docs.select("*", F.struct(*near.row_hashes(docs)).alias("row__"))
+    judged = fertility.judged(named, key="row__")
+    kept = written(judged.where("kept").select("row__.*").distinct())
+    return docs.select("*", *near.row_hashes(docs)).join(kept, ["row1__", "row2__"], "left_semi").select(*docs.columns)
+
+
+def clean(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that are more probably clean than toxic."""
+    scored = toxicity.severity_of_labelled(docs, read(spark, folder, "labels"), docs.columns)
+    return scored.where(F.col("toxic_chance") < toxicity.REJECT).select(*docs.columns)
+
+
+def different(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near.deduplicate(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mix(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Token ids of every text, in place of the text."""
+    kept = [name for name in docs.columns if name != "text"]
+    return bpe.encode(docs, kept).withColumn("n_tokens", F.size("ids"))
 
 
-STAGES: list[tuple[str, Stage]] = [("bpe_encoding", encoding)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality),
+    ("toxicity", clean),
+    ("near_duplicates", different),
+    ("mixing", mixed),
+    ("bpe_encoding", encoded),
+]
+# Neither tokenizers nor fitted models can be told in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
