@@ -9,6 +9,7 @@ from array import array
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
@@ -180,7 +181,7 @@ def encode(docs: DataFrame, keep: list[str], text: str = "text", path: str | Non
 
     def make():
         coder = coder_of(path)
-        return lambda text: (list(coder.encode(text or "")),)
+        return lambda text: (np.asarray(coder.encode(text or "")).astype(np.int32),)
 
     return per_text(docs, text, keep, "ids array<int>", make)
 
@@ -191,7 +192,7 @@ def decode(encoded: DataFrame, keep: list[str], ids: str = "ids", path: str | No
 
     def make():
         coder = coder_of(path)
-        return lambda ids: (coder.decode(ids or []),)
+        return lambda ids: (coder.decode(ids if ids is not None else []),)
 
     return per_text(encoded, ids, keep, "text string", make)
 

@@ -21,6 +21,8 @@ from tripmill.session import checkpoint_folder
 WORD = r"[^\x20\x09-\x0D]+"
 #: Parts that an operator does not spread further hold about this many rows.
 PART_ROWS = 20_000
+#: What is made of so many texts is held in a Python worker at once.
+OUT_ROWS = 256
 
 
 def tokenizer_file(name: str) -> str:
@@ -84,7 +86,8 @@ def per_text(
     """A row for each row: the columns ``keep`` and what a function makes of the whole text.
 
     ``make`` runs once in each task and gives the function, so that vocabularies are loaded there and not shipped.
-    Batches come through Arrow; texts are taken from a batch one at a time.
+    Batches come through Arrow; texts are taken from a batch one at a time, and
+    results leave in small batches.
     """
     made_fields = StructType.fromDDL(schema).fields
     kinds = [to_arrow_type(field.dataType) for field in made_fields]
@@ -93,12 +96,11 @@ def per_text(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            values = [one(value.as_py()) for value in batch.column("text__")]
-            made = list(zip(*values, strict=True))
-            kept = [batch.column(f"keep{i}__") for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(column, kinds[i]) for i, column in enumerate(made)]], names)
+            for start in range(0, batch.num_rows, OUT_ROWS):
+                part = batch.slice(start, OUT_ROWS)
+                made = list(zip(*[one(value.as_py()) for value in part.column("text__")], strict=True))
+                kept = [part.column(f"keep{i}__") for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays([*kept, *[pa.array(column, kinds[i]) for i, column in enumerate(made)]], names)
 
     ship(df.sparkSession)
     narrow = df.select(*[F.col(name).alias(f"keep{i}__") for i, name in enumerate(keep)], F.col(text).alias("text__"))
