@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tripmill.llm.common import per_text, tokenizer_file, written
 
 VOCABULARY = "piece_bpe_32k.model"
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 LONGEST_REMEMBERED = 64
 #: Relative accuracy of the quartiles.
 ACCURACY = 10_000
@@ -26,7 +26,8 @@ class Width:
     """How far a band reaches: so many times from the median to the quartile below and above it.
 
     A band reaches at least ``least`` times the median and ``floor``. With ``scatter``, it widens for texts of few
-    tokens, as by chance their figures scatter more. ``None`` leaves a side open.
+    tokens, as by chance their figures scatter more. ``None`` leaves a side open. With ``by_length``, a text is only
+    held against texts of its length, in classes of powers of two.
     """
 
     below: float | None
@@ -34,12 +35,13 @@ class Width:
     least: float
     floor: float = 0.0
     scatter: int = 0
+    by_length: bool = False
 
 
 WIDTHS = {
     "chars_per_token": Width(12.0, 12.0, 0.15, scatter=100),
     "fallback_share": Width(None, 12.0, 0.0, floor=0.05, scatter=100),
-    "token_entropy": Width(4.75, 25.0, 0.05),
+    "token_entropy": Width(4.75, 25.0, 0.05, by_length=True),
 }
 METRICS = tuple(WIDTHS)
 
@@ -141,11 +143,12 @@ def measured(docs: DataFrame, keep: list[str], text: str = "text", path: str | N
     return per_text(docs, text, keep, f"{BASE}, {FERTILITY}", make)
 
 
-def bands(figures: DataFrame) -> DataFrame:
-    """For each language and class of length (powers of two): the quartiles of each figure over all texts that pass the base rules."""
+def bands(figures: DataFrame, by_length: bool) -> DataFrame:
+    """For each language, or language and class of length: the quartiles of its figures over all texts that pass the base rules."""
     quartiles = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     passed = figures.where(~F.col("base_failed"))
-    return passed.groupBy("band", "length_class").agg(*[F.percentile_approx(m, quartiles, ACCURACY).alias(f"{m}_quartiles") for m in METRICS])
+    chosen = [F.percentile_approx(m, quartiles, ACCURACY).alias(f"{m}_quartiles") for m, w in WIDTHS.items() if w.by_length == by_length]
+    return passed.groupBy("band", *["length_class"] * by_length).agg(*chosen)
 
 
 def _inside(metric: str) -> Column:
@@ -165,8 +168,8 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", language: s
     """A row for each row of ``docs``: key, base counts, fertility figures, ``base_failed`` and ``kept``.
 
     ``base_failed``: under 10 words, or over 20 % of the words in repeated windows of five words. Other texts are kept
-    if characters per token, the share of byte-fallback tokens and the tokens' entropy lie within the bands of their
-    language and length; a text without a language is held against the texts in its script. A null, empty or blank text has no
+    if characters per token and the share of byte-fallback tokens lie within the bands of their language, and the
+    tokens' entropy within the band of their language and length; a text without a language is held against the texts in its script. A null, empty or blank text has no
     figures and fails the base rules. Repeated rows are judged alike; they count as often as they appear.
     """
     rows = docs.select(F.col(key).alias("key__"), F.col(language).alias("language__"), F.col(text).alias("text__"))
@@ -175,9 +178,9 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", language: s
     band = F.coalesce(F.concat(F.lit("language "), "language__"), F.concat(F.lit("script "), "script"), F.lit("none"))
     length = F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1))))
     figures = written(figures.select("*", failed.alias("base_failed"), band.alias("band"), length.alias("length_class")))
-    ranges = written(bands(figures))
+    by_language, by_length = written(bands(figures, False)), written(bands(figures, True))
     inside = [_inside(metric) for metric in METRICS]
     verdict = ~F.col("base_failed") & inside[0] & inside[1] & inside[2]
-    return figures.join(ranges, ["band", "length_class"], "left").select(
+    return figures.join(by_language, "band", "left").join(by_length, ["band", "length_class"], "left").select(
         F.col("key__").alias(key), *[c.strip().split(" ")[0] for c in f"{BASE}, {FERTILITY}".split(",")], "base_failed", verdict.alias("kept")
     )

@@ -18,6 +18,8 @@ from tripmill.llm.common import WORD, written
 MOST_COPIES = 3
 #: Documents, or rests of groups, that meet in one group.
 FAN_IN = 64
+#: So many of a group's documents, spread over their sizes, go on to the next group untouched.
+SPARES = 12
 EPSILON = 1e-12
 
 
@@ -97,17 +99,24 @@ def _meet(state: Column, item: Column, seed: int, level: int) -> Column:
 
 
 def _reduced(items: DataFrame, seed: int, level: int) -> DataFrame:
-    """Each group's certain documents, and its open one; the last group of a source draws for its open one."""
+    """Each group's certain documents, and the rest of it; the last group of a source draws for its open one."""
     kind = items.schema["item"].dataType.simpleString()
     groups = items.groupBy("source_no", "group", "groups").agg(F.sort_array(F.collect_list("item"), asc=False).alias("all"))
-    start = F.struct(F.lit(None).cast(kind).alias("open"), F.array().cast(f"array<{kind}>").alias("done"))
-    ends = groups.withColumn("end", F.aggregate("all", start, lambda state, item: _meet(state, item, seed, level)))
-    open_, last = F.col("end.open"), F.col("groups") <= 1
+    empty = F.array().cast(f"array<{kind}>")
+    last = F.col("groups") <= 1
+    step = F.ceil(F.size("all") / SPARES)
+    # Some documents of all sizes go on as they are, so that the last group can come near the target.
+    spare = F.when(last, empty).otherwise(F.filter("all", lambda item, at: at % step == step - 1))
+    now = F.when(last, F.col("all")).otherwise(F.filter("all", lambda item, at: at % step != step - 1))
+    start = F.struct(F.lit(None).cast(kind).alias("open"), empty.alias("done"))
+    ends = groups.withColumn("spare", spare).withColumn("end", F.aggregate(now, start, lambda state, item: _meet(state, item, seed, level)))
+    open_ = F.col("end.open")
     drawn = F.when(_draw(F.lit(seed), F.lit(-1), F.col("source_no"), open_["id"], open_["size"]) < open_["p"], 1.0).otherwise(0.0)
     closed = F.sort_array(F.concat("end.done", F.array(open_.withField("p", drawn))), asc=False)
-    evened = F.aggregate(closed, F.struct(((drawn - open_["p"]) * open_["mass"]).alias("over"), F.array().cast(f"array<{kind}>").alias("done")), _even)
+    evened = F.aggregate(closed, F.struct(((drawn - open_["p"]) * open_["mass"]).alias("over"), empty.alias("done")), _even)
     done = F.when(last & open_.isNotNull(), evened["done"]).otherwise(F.col("end.done"))
-    return ends.select("source_no", "group", "groups", done.alias("done"), F.when(~last, open_).alias("open"))
+    rest = F.when(last, empty).otherwise(F.concat(F.when(open_.isNull(), empty).otherwise(F.array(open_)), "spare"))
+    return ends.select("source_no", "group", "groups", done.alias("done"), rest.alias("rest"))
 
 
 def _even(state: Column, item: Column) -> Column:
@@ -156,7 +165,7 @@ def plan(
             break
         most_groups, level = -(-most_groups // FAN_IN), level + 1
         higher = F.floor(F.col("group") / FAN_IN).alias("group"), F.ceil(F.col("groups") / FAN_IN).alias("groups")
-        items = ends.where("open IS NOT NULL").select("source_no", *higher, F.col("open").alias("item"))
+        items = ends.select("source_no", *higher, F.explode("rest").alias("item"))
     certain = settled[0]
     for more in settled[1:]:
         certain = certain.unionByName(more)

@@ -16,7 +16,7 @@ from tripmill.llm.common import PART_ROWS, WORD, written
 SHARDS = 16
 #: Groups over 1/64 of a shard in some measure are placed one by one; there are at most 64 such for each shard and measure.
 ITEMS = 64
-#: Groups over half a shard are spread in parts of at most that.
+#: A group over this part of a shard is spread in as many parts as there are shards.
 MOST_IN_A_SHARD = 0.5
 #: The other groups come in so many packages for each shard.
 PACKAGES = 256
@@ -45,8 +45,8 @@ def assign(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
 
     Size is the UTF-8 bytes of the text plus 1; a null text counts as empty. The law is ``bytes``: sizes of the
     shards are near equal, tokens and rows are balanced with them. Rows of equal texts share a shard unless their
-    group is over half a shard in some measure; such a group is spread in parts by a hash of the key, so that a hot
-    group needs no one task. Slots count from 0 in each shard without gaps, in the order of a hash, then of the key.
+    group is over half a shard in some measure; such a group is spread over all shards by a hash of the key, so that a
+    hot group needs no one task. Slots count from 0 in each shard without gaps, in the order of a hash, then of the key.
     ``grown_shard`` is null, as this law does not keep rows in place when shards are added.
     The driver gets the measures of ``shards`` times some hundred items, whatever the number of rows.
     """
@@ -66,7 +66,7 @@ def assign(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
     totals = groups.agg(*[F.coalesce(F.sum(f"sum_{m}"), F.lit(0)) for m in MEASURES]).first()
     least = [max(total / (shards * ITEMS), 1e-9) for total in totals]
     share = F.greatest(*[F.col(f"sum_{m}") / limit for m, limit in zip(MEASURES, least, strict=True)])
-    large = groups.where(share > 1).select(*group, F.ceil(share / (ITEMS * MOST_IN_A_SHARD)).alias("parts"))
+    large = groups.where(share > 1).select(*group, F.when(share > ITEMS * MOST_IN_A_SHARD, shards).otherwise(1).alias("parts"))
     item = F.struct(
         F.coalesce(F.hex("text_hash"), F.lit(NO_GROUP)).alias("group"),
         F.when(F.col("parts").isNull(), F.pmod(F.col("text_hash"), F.lit(shards * PACKAGES)))
