@@ -26,7 +26,7 @@ def test_targets_words_and_reruns(documents):
     draw, rows = random.Random(2), []
     for i in range(3000):
         source = draw.choice(["hot"] * 6 + ["ä", "b", "c", "tiny", None]) if i > 3 else "tiny"
-        rows.append((i, " ".join(["w"] * min(500, int(draw.paretovariate(0.9)))), "en", source, 0))
+        rows.append((i, " ".join(["w"] * int(draw.lognormvariate(4, 1.2))), "en", source, 0))
     docs = documents(rows)
     found = mixing.taken(docs)
     got, size, words = found.collect(), defaultdict(int), defaultdict(int)
