@@ -32,7 +32,7 @@ HEADLINE = [
     "m9_clustering_features",
     "p2_trim_upper",
     "p3_trim_two_sided",
-    "s20_synthetic_trips",
+    "s19_ingest_table",
     "t4_sample_rows",
     "u5_union_with_times",
     "v1_error_histogram",

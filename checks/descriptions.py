@@ -120,13 +120,12 @@ def above_threshold(spark, folder):
 
 @check(
     "j4_attach_zones",
-    with_sql(fx.ROUTES, fx.ZONES, "known AS (SELECT * FROM zones WHERE LocationID < 20)")
+    with_sql(fx.ROUTES, fx.ZONES)
     + "SELECT trip_key, PULocationID, DOLocationID, p.Borough AS pickup_borough, p.Zone AS pickup_zone, d.Borough AS dropoff_borough, d.Zone AS dropoff_zone "
-    "FROM routes LEFT JOIN known p ON PULocationID = p.LocationID LEFT JOIN known d ON DOLocationID = d.LocationID",
+    "FROM routes LEFT JOIN zones p ON PULocationID = p.LocationID LEFT JOIN zones d ON DOLocationID = d.LocationID",
 )
 def attach_zones(spark, folder):
-    known = fx.zones(spark, folder).filter("LocationID < 20")
-    return joins.attach_zones(fx.routes(spark, folder).select("trip_key", "PULocationID", "DOLocationID"), known)
+    return joins.attach_zones(fx.routes(spark, folder).select("trip_key", "PULocationID", "DOLocationID"), fx.zones(spark, folder))
 
 
 COMMON = "trip_key, VendorID, trip_time_in_secs, passenger_count, trip_distance, fare_amount, tip_amount, payment_type, RatecodeID"
@@ -207,17 +206,17 @@ def numbered_zone_lookup(spark, folder):
 
 
 @check(
-    "s19_ingest_synthetic",
+    "s19_ingest_table",
     with_sql(
-        f"a AS (SELECT o_orderkey + 1 AS id, {fx.range_sql('(o_orderkey + 1)::VARCHAR', 'fare', 2.5, 100)} AS fare_amount, "
-        f"{fx.range_sql('(o_orderkey + 1)::VARCHAR', 'distance', 0.5, 20)} AS trip_distance FROM orders)",
+        fx.TRIPS,
+        "a AS (SELECT trip_key, fare_amount, trip_distance FROM trips WHERE fare_amount > 0 AND trip_distance > 0)",
         "b AS (SELECT * FROM a WHERE fare_amount <= (SELECT quantile_cont(fare_amount, 0.99) FROM a))",
     )
-    + "SELECT id, fare_amount, trip_distance FROM b WHERE trip_distance <= (SELECT quantile_cont(trip_distance, 0.99) FROM b)",
+    + "SELECT trip_key, fare_amount, trip_distance FROM b WHERE trip_distance <= (SELECT quantile_cont(trip_distance, 0.99) FROM b)",
 )
-def ingest_synthetic(spark, folder):
-    from tripmill.operators.cleaning import clean_trips
-    from tripmill.sources.synthetic import synthetic_trips
+def ingest_table(spark, folder):
+    """A stored table, ingested whole and cleaned."""
+    from tripmill.plans.ingest import ingest
 
-    ids = fx.table(spark, folder, "orders").select((F.col("o_orderkey") + 1).alias("id"))
-    return clean_trips(synthetic_trips(ids)).select("id", "fare_amount", "trip_distance")
+    fx.trips(spark, folder).createOrReplaceTempView("trips_to_ingest")
+    return ingest(spark, "trips_to_ingest").select("trip_key", "fare_amount", "trip_distance")

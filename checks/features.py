@@ -8,7 +8,6 @@ from checks import fixture as fx
 from checks.registry import NUDGE, check, rounded, with_sql
 from tripmill.functions import bins, numeric, temporal
 from tripmill.operators import features
-from tripmill.sources import synthetic
 
 HOUR = "hour(pickup_datetime)"
 
@@ -239,79 +238,3 @@ def study_features(spark, folder):
         "trip_key", "cost_per_mile", "distance_category", "passenger_group", "payment_category", "pickup_hour",
         "pickup_day", "pickup_dayofweek", "is_weekend", "time_of_day", "is_same_location", "fare_category",
     )
-
-
-K = "id::VARCHAR"
-IDS = "ids AS (SELECT o_orderkey + 1 AS id FROM orders)"
-
-
-def _ids(spark, folder):
-    return fx.table(spark, folder, "orders").select((F.col("o_orderkey") + 1).alias("id"))
-
-
-def _either(salt: str, *names: str) -> str:
-    listed = ", ".join(f"'{n}'" for n in names)
-    return f"[{listed}][{fx.choice_sql(K, salt, 0, len(names) - 1)} + 1]"
-
-
-@check(
-    "s20_synthetic_trips",
-    with_sql(IDS)
-    + f"SELECT id, {fx.choice_sql(K, 'vendor', 1, 2)} AS VendorID, TIMESTAMP '2024-01-01' + to_hours(id - 1) AS tpep_pickup_datetime, "
-    f"TIMESTAMP '2024-01-01' + to_hours(id) AS tpep_dropoff_datetime, {fx.choice_sql(K, 'passengers', 1, 6)} AS passenger_count, "
-    f"{fx.range_sql(K, 'distance', 0.5, 20)} AS trip_distance, {fx.choice_sql(K, 'rate', 1, 6)} AS RatecodeID, "
-    f"{_either('flag', 'Y', 'N')} AS store_and_fwd_flag, {fx.choice_sql(K, 'from', 1, 264)} AS PULocationID, "
-    f"{fx.choice_sql(K, 'to', 1, 264)} AS DOLocationID, {fx.choice_sql(K, 'payment', 1, 4)} AS payment_type, "
-    f"{fx.range_sql(K, 'fare', 2.5, 100)} AS fare_amount, {fx.range_sql(K, 'extra', 0, 5)} AS extra, "
-    f"{fx.range_sql(K, 'tax', 0, 1)} AS mta_tax, {fx.range_sql(K, 'tip', 0, 20)} AS tip_amount, "
-    f"{fx.range_sql(K, 'tolls', 0, 10)} AS tolls_amount, {fx.range_sql(K, 'surcharge', 0, 1)} AS improvement_surcharge, "
-    f"{fx.range_sql(K, 'total', 5, 150)} AS total_amount, 3600::INTEGER AS trip_time_in_secs FROM ids",
-)
-def synthetic_trips(spark, folder):
-    return synthetic.synthetic_trips(_ids(spark, folder))
-
-
-@check(
-    "s20_synthetic_trips_by_speed",
-    with_sql(IDS, f"d AS (SELECT id, {fx.range_sql(K, 'distance', 0.5, 20)} AS trip_distance, {fx.range_sql(K, 'mph', 10, 30)} AS mph FROM ids)")
-    + "SELECT id, trip_distance, CAST(trunc(trip_distance / mph * 3600) AS INTEGER) AS trip_time_in_secs FROM d",
-)
-def synthetic_trips_by_speed(spark, folder):
-    made = synthetic.synthetic_trips(_ids(spark, folder), by_speed=True)
-    return made.select("id", "trip_distance", "trip_time_in_secs")
-
-
-def _mode_sql(salt: str, modes) -> str:
-    a, b, c = (fx.normal_sql(K, salt, m, d) for m, d in modes)
-    return f"CASE id % 3 WHEN 0 THEN {a} WHEN 1 THEN {b} ELSE {c} END"
-
-
-@check(
-    "s21_synthetic_modes",
-    with_sql(
-        IDS,
-        f"d AS (SELECT id, {_mode_sql('mode-distance', synthetic.DISTANCE_MODES)} AS distance, "
-        f"{_mode_sql('mode-fare', synthetic.FARE_MODES)} AS fare, {fx.normal_sql(K, 'pace', 180.0, 30.0)} AS pace FROM ids)",
-    )
-    + "SELECT id, round(distance, 6) AS trip_distance, round(fare, 6) AS fare_amount, round(distance * pace, 6) AS trip_time_in_secs, "
-    f"{fx.choice_sql(K, 'cluster', 0, 2)} AS cluster, {_either('time-name', 'morning', 'afternoon', 'evening', 'night')} AS time_of_day FROM d",
-)
-def synthetic_modes(spark, folder):
-    made = synthetic.synthetic_modes(_ids(spark, folder))
-    return rounded(made.select("id", "trip_distance", "fare_amount", "trip_time_in_secs", "cluster", "time_of_day"))
-
-
-@check(
-    "s22_formula_fares",
-    with_sql(
-        IDS,
-        f"d AS (SELECT id, {fx.range_sql(K, 'distance', 0.5, 20)} AS distance, {fx.normal_sql(K, 'pace', 3.0, 0.5)} AS pace, "
-        f"{fx.choice_sql(K, 'hour', 0, 23)} AS pickup_hour FROM ids)",
-    )
-    + "SELECT id, pickup_hour, round((2.5 + distance * 2.5 + distance * pace * 0.5) * CASE WHEN pickup_hour >= 23 OR pickup_hour <= 5 THEN 1.3::DOUBLE "
-    "WHEN pickup_hour BETWEEN 7 AND 9 OR pickup_hour BETWEEN 16 AND 19 THEN 1.2::DOUBLE ELSE 1.0::DOUBLE END, 6) AS fare_amount, "
-    f"{fx.RULE_CLUSTER.format(d='distance')} AS cluster FROM d",
-)
-def formula_fares(spark, folder):
-    made = synthetic.synthetic_fares(_ids(spark, folder), noise=0.0)
-    return rounded(made.select("id", "pickup_hour", "fare_amount", "cluster"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,12 +10,18 @@ from checks import fixture as fx
 from checks.registry import check, with_sql
 from tripmill.operators.setops import normalise_times
 from tripmill.plans.ingest import write_by_month
+from tripmill.session import checkpoint_folder
 from tripmill.sources import trips, weather, zones
 
 
+def _folder(spark, kind: str) -> str:
+    """A new folder that all executors share."""
+    return f"{checkpoint_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
 @check("s3_read_csv", "SELECT event_id, user_id, event_type, value FROM events")
 def read_csv(spark, folder):
-    path = tempfile.mkdtemp(prefix="tripmill-csv-")
+    path = _folder(spark, "csv")
     rows = fx.table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
     rows.write.mode("overwrite").option("header", True).csv(path)
     return weather.read_csv(spark, path).select(
@@ -25,7 +31,7 @@ def read_csv(spark, folder):
 
 @check("s13_zone_csv", with_sql(fx.ZONES) + "SELECT LocationID, Borough, Zone FROM zones")
 def zone_csv(spark, folder):
-    path = tempfile.mkdtemp(prefix="tripmill-zones-")
+    path = _folder(spark, "zones")
     zones.write_lookup(fx.zones(spark, folder), path)
     return zones.read_lookup(spark, path)
 
@@ -36,12 +42,9 @@ def zone_csv(spark, folder):
 )
 def scan_years(spark, folder):
     """Trip files laid out by year and month; only the files of the years are opened."""
-    path = tempfile.mkdtemp(prefix="tripmill-trips-")
+    path = _folder(spark, "trips")
     write_by_month({"yellow": normalise_times(fx.yellow(spark, folder))}, path)
-    every = fx.trips(spark, folder).select("trip_key", "pickup_datetime").limit(0)
-    written = trips.scan_years(spark, path, "part", 1996, 1998).select("trip_key", "pickup_datetime")
-    green = tempfile.mkdtemp(prefix="tripmill-trips-")
+    green = _folder(spark, "trips")
     write_by_month({"green": normalise_times(fx.green(spark, folder))}, green)
-    return every.unionByName(written).unionByName(
-        trips.scan_years(spark, green, "part", 1996, 1998).select("trip_key", "pickup_datetime")
-    )
+    both = [trips.scan_years(spark, place, "part", 1996, 1998).select("trip_key", "pickup_datetime") for place in (path, green)]
+    return both[0].unionByName(both[1])

@@ -86,3 +86,10 @@ def test_dashboard(spark, trained, tmp_path):
     assert len(paths) == 10 and all(spark.read.parquet(p).count() > 0 for p in paths)
     assert spark.read.parquet(str(tmp_path / "all/feature_importance")).count() == 8
     assert len(dashboard.chart_tables(scored, "id", ["trip_distance", "speed"])) == 8
+
+
+def test_requests_keep_fields_that_no_schema_names(spark):
+    rows = [{"trip_distance": 2, "request_id": "a", "is_weekend": True, "speed": 12.5}, {"request_id": 7, "note": None}]
+    got = scoring.request_frame(spark, rows)
+    assert dict(got.dtypes) == {"trip_distance": "double", "is_weekend": "boolean", "note": "string", "request_id": "string", "speed": "double"}
+    assert [tuple(r) for r in got.select("request_id", "speed", "is_weekend").collect()] == [("a", 12.5, True), ("7", None, None)]

@@ -62,10 +62,59 @@ def trip_folder(spark, tmp_path):
 
 
 def test_files_outside_the_years_are_not_read(spark, trip_folder):
-    yellow = trips.scan_years(spark, trip_folder, "yellow_tripdata", 2022, 2024)
-    assert len(yellow.inputFiles()) == 2
-    assert yellow.count() == 4 and "airport_fee" in yellow.columns
-    assert trips.scan_years(spark, trip_folder, "yellow_tripdata", 2030, 2031).count() == 0
+    yellow = trips.scan_years(spark, trip_folder, "yellow_taxi_trips", 2022, 2024)
+    pushed = yellow._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(IsNull(tpep_pickup_datetime)" in pushed
+    assert yellow.count() == 3 and "airport_fee" in yellow.columns
+    assert trips.scan_years(spark, trip_folder, "yellow_taxi_trips", 2030, 2031).where("tpep_pickup_datetime IS NOT NULL").count() == 0
+
+
+def test_a_trip_requested_before_the_years_and_made_in_them(spark, tmp_path):
+    rows = [(datetime(2021, 12, 31, 23, 55), datetime(2022, 1, 1, 0, 5))]
+    df = spark.createDataFrame(rows, "request_datetime timestamp_ntz, pickup_datetime timestamp_ntz")
+    df.coalesce(1).write.parquet(str(tmp_path / "fhvhv_tripdata_2021"))
+    part = next((tmp_path / "fhvhv_tripdata_2021").glob("part-*.parquet"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "fhvhv_tripdata_2021.parquet").write_bytes(part.read_bytes())
+    assert ingest.load_trips(spark, str(tmp_path / "in"), 2022, 2024)["hvfhv_trips"].count() == 1
+
+
+def test_drifted_types_spaces_and_unreadable_files(spark, tmp_path):
+    folder = tmp_path / "a b"
+    folder.mkdir()
+    for name, kind in (("yellow_tripdata one.parquet", "bigint"), ("yellow_tripdata_two.parquet", "double")):
+        rows = spark.sql(f"SELECT TIMESTAMP_NTZ '2023-05-05' AS tpep_pickup_datetime, CAST(2 AS {kind}) AS passenger_count")
+        rows.coalesce(1).write.parquet(str(tmp_path / name))
+        (folder / name).write_bytes(next((tmp_path / name).glob("part-*.parquet")).read_bytes())
+    loaded = ingest.load_trips(spark, str(folder), 2022, 2024)["yellow_taxi_trips"]
+    assert dict(loaded.dtypes)["passenger_count"] == "double" and loaded.agg(F.sum("passenger_count")).first()[0] == 4.0
+    (folder / "yellow_tripdata_bad.parquet").write_bytes(b"no parquet")
+    loaded = ingest.load_trips(spark, str(folder), 2022, 2024)["yellow_taxi_trips"]
+    assert loaded.count() == 2
+    report = {r.file: r.status.split(":")[0] for r in trips.file_report(spark, str(folder), "yellow_taxi_trips").collect()}
+    assert report == {"yellow_tripdata one.parquet": "loaded", "yellow_tripdata_two.parquet": "loaded", "yellow_tripdata_bad.parquet": "failed"}
+
+
+def test_partition_columns_stay(spark, tmp_path):
+    rows = spark.sql("SELECT TIMESTAMP_NTZ '2023-05-05' AS pickup_datetime, 1 AS x UNION ALL SELECT TIMESTAMP_NTZ '2020-05-05', 2")
+    ingest.write_by_month({"yellow": rows}, str(tmp_path / "m"))
+    found = trips.scan_years(spark, str(tmp_path / "m"), "part", 2022, 2024)
+    assert found.select("x", "year", "month").collect() == [(1, 2023, 5)]
+    assert "PartitionFilters: []" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_text_dates_of_weather(spark):
+    df = spark.createDataFrame([("2021-05-05 01:00:00", 1), ("2023-05-05", 2), ("unknown", 3), (None, 4)], "obs_date string, t int")
+    assert sorted(r.t for r in weather.weather_in_years(df, 2022, 2024).collect()) == [2, 3, 4]
+    with pytest.raises(ValueError, match="obs_date"):
+        weather.weather_in_years(df.select(F.col("t").alias("obs_date")), 2022, 2024)
+
+
+def test_lookup_column_rules():
+    assert zones.lookup_columns(["service_zone", "Zone", "Borough", "LocationID"]) == {"Zone": "Zone", "Borough": "Borough", "LocationID": "LocationID"}
+    assert zones.lookup_columns(["zoneArea", "the_borough", "place_id"]) == {"Zone": "zoneArea", "Borough": "the_borough", "LocationID": "place_id"}
+    with pytest.raises(ValueError, match="Zone"):
+        zones.lookup_columns(["a_zone", "b_zone"])
 
 
 def test_ingest_tables_views_and_reports(spark, trip_folder, tmp_path):
@@ -114,8 +163,11 @@ def test_lookup_from_other_columns(spark):
 def test_catalog_tables(spark):
     tables.create_trip_table(spark, "trip_table")
     rows = synthetic.synthetic_trips(synthetic.trip_ids(spark, 30))
-    tables.insert_trips(rows.withColumn("passenger_count", F.col("passenger_count").cast("string")), "trip_table", limit=20)
-    assert spark.table("trip_table").count() == 20
+    tables.insert_trips(rows.withColumn("passenger_count", F.col("passenger_count").cast("string")), "trip_table")
+    assert spark.table("trip_table").count() == 30
+    tables.insert_trips(spark.range(120_000).selectExpr("CAST(id AS INT) AS id"), "trip_table")
+    assert spark.table("trip_table").count() == 120_030
+    assert tables.get_data(spark, "trip_table").count() == 120_030
     assert tables.table_columns(spark, "trip_table", "no_such_table").count() == len(schema.TRIP_SCHEMA.fields)
     assert tables.get_sample(spark, "trip_table", 5).count() == 5
     assert tables.get_sample(spark, "no_such_table", 5).count() == 0

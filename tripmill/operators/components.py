@@ -17,7 +17,7 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the smallest of node and neighbours."""
     ways = _both_ways(edges)
-    least = ways.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+    least = cut_lineage(ways.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")))
     return ways.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
 
 
@@ -34,7 +34,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     Alternating star contraction: the rounds grow with the logarithm of the number
     of nodes, not with the length of paths. Every few rounds are
-    written to the checkpoint folder.
+    written to the checkpoint folder, and so are the smallest neighbours of the large star:
+    a join with written rows shuffles both sides, so a hub's edges can be split among tasks.
+    After it, no node has many smaller neighbours.
     """
     current = cut_lineage(edges.filter("a <> b").distinct())
     state = None

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill import schema
-from tripmill.operators.cleaning import clean_trips, keep_years
+from tripmill.operators.cleaning import clean_trips
 from tripmill.operators.profiling import monthly_counts, quality_reports, removal_report
 from tripmill.operators.setops import create_union_view, union_trips
 from tripmill.sources.synthetic import synthetic_trips, trip_ids
@@ -25,17 +24,12 @@ def load_trips(
     end_year: int = schema.DEFAULT_YEARS[1],
     tables: Mapping[str, str] = schema.FILE_TOKENS,
 ) -> dict[str, DataFrame]:
-    """Trips of every kind that has files, bounded to the years."""
+    """Trips of every kind that has readable files, bounded to the years; ``file_report`` tells what each file gave."""
     loaded = {}
     for table, token in tables.items():
-        try:
-            scanned = scan_years(spark, directory, token, start_year, end_year)
-        except AnalysisException as failure:  # a kind without files has no schema to infer
-            if "UNABLE_TO_INFER_SCHEMA" in str(failure):
-                continue
-            raise
-        column = date_column(scanned.columns, table)
-        loaded[table] = scanned if column is None else keep_years(scanned, column, start_year, end_year)
+        scanned = scan_years(spark, directory, table, start_year, end_year, token)
+        if scanned is not None:
+            loaded[table] = scanned
     return loaded
 
 
@@ -85,11 +79,11 @@ def write_by_month(tables: Mapping[str, DataFrame], path: str) -> None:
 def ingest(
     spark: SparkSession,
     table: str = "all_taxi_trips",
-    sample_size: int | None = 1000,
+    sample_size: int | None = None,
     use_synthetic: bool = False,
     seed: int | None = None,
 ) -> DataFrame:
-    """Made-up or stored trips, cleaned."""
+    """Stored trips, all or a sample of the size asked for, or made-up ones; cleaned."""
     if use_synthetic:
         trips = synthetic_trips(trip_ids(spark, 1000 if sample_size is None else sample_size))
     else:

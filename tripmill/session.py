@@ -41,8 +41,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Iterative jobs call this once a round: the rows are computed once, survive lost
     executors, and come back with known sizes, so the planner picks joins by size.
+    They are deleted when the session's JVM ends.
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/tripmill-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    written = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(written)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,8 +9,6 @@ from pyspark.sql import types as T
 from tripmill import schema
 from tripmill.operators.sampling import random_rows
 
-INSERT_ROWS = 100_000
-
 
 def _fit(df: DataFrame, target: T.StructType) -> DataFrame:
     """Columns cast to the table's types; columns the rows lack are NULL."""
@@ -28,8 +26,8 @@ def create_trip_table(spark: SparkSession, table: str) -> None:
     spark.createDataFrame([], schema.TRIP_SCHEMA).write.format("parquet").saveAsTable(table)
 
 
-def insert_trips(df: DataFrame, table: str, limit: int | None = INSERT_ROWS) -> None:
-    """Append rows in one write; a loader of samples stops at the limit."""
+def insert_trips(df: DataFrame, table: str, limit: int | None = None) -> None:
+    """Append all rows in one write, or any ``limit`` of them when a limit is asked for."""
     rows = _fit(df, df.sparkSession.table(table).schema)
     (rows if limit is None else rows.limit(limit)).write.insertInto(table)
 
@@ -56,8 +54,8 @@ def get_sample(spark: SparkSession, table: str, sample_size: int, seed: int | No
     return random_rows(spark.table(table), sample_size, seed)
 
 
-def get_data(spark: SparkSession, table: str = "all_taxi_trips", sample_size: int | None = 1000, seed: int | None = None) -> DataFrame:
-    """Sample, or the whole table when no size is given; an empty result is an error."""
+def get_data(spark: SparkSession, table: str = "all_taxi_trips", sample_size: int | None = None, seed: int | None = None) -> DataFrame:
+    """The whole table, or a sample when a size is asked for; an empty result is an error."""
     if sample_size is None and spark.catalog.tableExists(table):
         rows = spark.table(table)
     else:

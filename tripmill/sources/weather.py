@@ -12,6 +12,7 @@ from tripmill.sources.trips import file_paths
 
 # Parts of weather file names.
 FILE_TOKENS = ["york", "weather", "ny"]
+PARSED = "__parsed_date"
 REPORT = "file string, status string, rows bigint"
 
 
@@ -66,9 +67,14 @@ def weather_date_column(df: DataFrame) -> str | None:
 
 
 def weather_in_years(df: DataFrame, start_year: int, end_year: int) -> DataFrame:
+    """Rows of the years. A date column read as text is parsed for the test; what is no date stays, as a missing one does."""
     column = weather_date_column(df)
     if column is None:
         return df
-    if not isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return df
-    return keep_years(df, column, start_year, end_year)
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return keep_years(df, column, start_year, end_year)
+    if not isinstance(kind, T.StringType):
+        raise ValueError(f"{column} is {kind.simpleString()}, not a date: the table cannot be bounded to years")
+    parsed = df.withColumn(PARSED, F.try_to_timestamp(F.col(column)))
+    return keep_years(parsed, PARSED, start_year, end_year).drop(PARSED)
