@@ -27,8 +27,10 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def clean(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that are more probably clean than toxic."""
-    scored = toxicity.severity_of_labelled(docs, read(spark, folder, "labels"), docs.columns)
-    return scored.where(F.col("toxic_chance") < toxicity.REJECT).select(*docs.columns)
+    columns = {name: f"own{i}__" for i, name in enumerate(docs.columns)}
+    named = docs.select("doc_id", "text", *[F.col(name).alias(own) for name, own in columns.items()])
+    scored = toxicity.severity_of_labelled(named, read(spark, folder, "labels"), list(columns.values()))
+    return scored.where(F.col("toxic_chance") < toxicity.REJECT).select(*[F.col(own).alias(name) for name, own in columns.items()])
 
 
 def different(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -43,7 +45,7 @@ def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of every text, in place of the text."""
-    kept = [name for name in docs.columns if name != "text"]
+    kept = [name for name in docs.columns if name not in ("text", "ids", "n_tokens")]
     return bpe.encode(docs, kept).withColumn("n_tokens", F.size("ids"))
 
 

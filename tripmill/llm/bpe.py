@@ -6,14 +6,13 @@ import hashlib
 import json
 import sys
 from array import array
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from tripmill.llm.common import per_text, tokenizer_file
+from tripmill.llm.common import held, per_text, tokenizer_file
 
 VOCABULARY = "byte_bpe_50k.json"
 #: A word up to this many bytes is merged in a rank array; scanning costs the square of its length, so longer ones use a heap.
@@ -166,10 +165,9 @@ class BytePairCoder:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
-@lru_cache(maxsize=2)
 def coder_of(path: str) -> BytePairCoder:
     """One coder for all tasks of a Python worker."""
-    return BytePairCoder(path)
+    return held(("coder_of", path), lambda: BytePairCoder(path))
 
 
 def encode(docs: DataFrame, keep: list[str], text: str = "text", path: str | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -23,6 +24,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 PART_ROWS = 20_000
 #: What is made of so many texts is held in a Python worker at once.
 OUT_ROWS = 256
+BATCH_ROWS_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
 
 
 def tokenizer_file(name: str) -> str:
@@ -60,11 +62,30 @@ def written(df: DataFrame) -> DataFrame:
     return Table(df).rows
 
 
+_held: dict = {}
+
+
+def held(what: tuple, build: Callable[[], object]) -> object:
+    """What a Python worker keeps for its next tasks; it lets go of what other operators kept there."""
+    if what not in _held:
+        _held.clear()
+        gc.collect()
+        _held[what] = build()
+    return _held[what]
+
+
+def hold_nothing() -> None:
+    held(("nothing",), lambda: None)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once for each Spark context.
 
-    They then import it wherever the driver was started and however it found the package.
+    They then import it wherever the driver was started and however it found the package. Rows with whole texts go to
+    the workers in smaller batches than Spark's usual ones, unless the session sets a size of its own.
     """
+    if spark.conf.get(BATCH_ROWS_KEY) == "10000":
+        spark.conf.set(BATCH_ROWS_KEY, str(BATCH_ROWS))
     context = spark.sparkContext
     if any(name.startswith("tripmill-") for name in context._python_includes):
         return

@@ -12,7 +12,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import per_text, tokenizer_file, written
+from tripmill.llm.common import held, per_text, tokenizer_file, written
 
 VOCABULARY = "piece_bpe_32k.model"
 REMEMBERED = 120_000
@@ -121,10 +121,9 @@ class Fertility:
         return len(ids), chars / len(ids), float(self.byte[ids].mean()), entropy, script
 
 
-@lru_cache(maxsize=2)
 def fertility_of(path: str) -> Fertility:
     """One measurer for all tasks of a Python worker."""
-    return Fertility(path)
+    return held(("fertility_of", path), lambda: Fertility(path))
 
 
 def measured(docs: DataFrame, keep: list[str], text: str = "text", path: str | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from tripmill.llm import simhash
-from tripmill.llm.common import per_text, ship, written
+from tripmill.llm.common import hold_nothing, per_text, ship, written
 from tripmill.llm.components import components
 
 WORDS = 5
@@ -67,6 +67,7 @@ def row_hashes(docs: DataFrame) -> list[Column]:
 
 def _sketches(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     def make():
+        hold_nothing()
         factors = _factors(BLOCKS * SAMPLES)
 
         def one(text):
@@ -100,6 +101,7 @@ def _similar(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int,
     ship(pairs.sparkSession)
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_nothing()
         last, shingles = None, set()
         for batch in batches:
             keep = []

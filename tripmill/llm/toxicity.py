@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import per_text, written
+from tripmill.llm.common import hold_nothing, per_text, written
 
 #: Labelled rows the model is fitted on at most, chosen by a hash of their key.
 SAMPLE_ROWS = 10_000
@@ -227,6 +227,7 @@ def severity(docs: DataFrame, model: OrdinalModel, keep: list[str], text: str =
     """
 
     def make():
+        hold_nothing()
         counted = Counted(model.weights)
 
         def one(text):

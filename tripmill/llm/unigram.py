@@ -8,13 +8,12 @@ a later candidate must be strictly better.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import ahocorasick
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from tripmill.llm.common import per_text, tokenizer_file
+from tripmill.llm.common import held, per_text, tokenizer_file
 
 VOCABULARY = "piece_bpe_32k.model"
 #: Counts of so many pieces of text are remembered in a Python worker.
@@ -84,10 +83,9 @@ class UnigramCounter:
         return total
 
 
-@lru_cache(maxsize=2)
 def counter_of(path: str) -> UnigramCounter:
     """One counter for all tasks of a Python worker."""
-    return UnigramCounter.load(path)
+    return held(("counter_of", path), lambda: UnigramCounter.load(path))
 
 
 def token_counts(docs: DataFrame, keep: list[str], text: str = "text", path: str | None = None) -> DataFrame:
