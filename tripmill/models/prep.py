@@ -13,6 +13,7 @@ from tripmill import schema
 from tripmill.operators.quantiles import mode, quantiles
 
 MISSING = "missing"
+MOST_CATEGORIES = 1_000
 
 
 def _quoted(name: str) -> str:
@@ -116,6 +117,7 @@ class TripFeatures(Estimator):
             indexes = [f"{name}__index" for name in sources]
             vectors = [f"{name}__onehot" for name in sources]
             prepared = columns.transform(df)
+            _bounded(prepared, sources, prefix)
             indexer = StringIndexer(
                 inputCols=sources, outputCols=indexes, handleInvalid="keep", stringOrderType="alphabetAsc"
             ).fit(prepared)
@@ -126,6 +128,14 @@ class TripFeatures(Estimator):
         return PipelineModel(stages)
 
 
+def _bounded(df: DataFrame, columns: Sequence[str], prefix: str) -> None:
+    """Encoding gathers every distinct text of a column on the driver, so a column of keys is an error and not a category."""
+    found = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    many = [f"{c.removeprefix(prefix)} (about {found[c]})" for c in columns if found[c] > MOST_CATEGORIES]
+    if many:
+        raise ValueError(f"over {MOST_CATEGORIES} different values, no categories: {', '.join(many)}")
+
+
 def slot_names(features: PipelineModel) -> list[str]:
     """Name of every slot of the fitted feature vector, in order."""
     assembler = features.stages[-1]

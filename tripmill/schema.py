@@ -104,7 +104,7 @@ CLUSTER_STATS = ["fare_amount", "trip_distance", "speed", "passenger_count", "fa
 
 TARGET = "fare_amount"
 # Columns from which the fare can be read back; left out of the models by default.
-TARGET_LEAKS = ["fare_amount", "cost_per_mile", "total_amount", "fare_category"]
+TARGET_LEAKS = ["fare_amount", "cost_per_mile", "total_amount", "fare_category", "tip_amount", "tolls_amount"]
 
 # A request with nothing given.
 DEFAULT_TRIP = {
