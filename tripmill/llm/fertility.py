@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tripmill.llm.common import held, per_text, tokenizer_file, written
 
 VOCABULARY = "piece_bpe_32k.model"
-REMEMBERED = 120_000
+REMEMBERED = 250_000
 LONGEST_REMEMBERED = 64
 #: Relative accuracy of the quartiles.
 ACCURACY = 10_000
