@@ -46,3 +46,21 @@ def test_figures_and_bands(documents):
     one = fertility.Fertility(fertility.tokenizer_file(fertility.VOCABULARY))(["the", "☃☃"], 5)
     pieces = ["▁the", "▁", "☃", "☃"]
     assert one[0] == len(pieces) and one[1] == 5 / 4
+
+
+def test_copies_of_one_text_leave_the_bands_alone(documents):
+    draw, common = random.Random(7), [f"{a}{b}" for a in ("water", "people", "house", "school", "light", "world") for b in ("", "s", " one", " two", " time")]
+    clean = [" ".join(draw.choice(common[: draw.randrange(15, 31)]) for _ in range(draw.randrange(90, 150))) for _ in range(300)]
+    junk = [" ".join(draw.choice(common[:7]) for _ in range(draw.randrange(90, 150))) for _ in range(4)]
+    measure = fertility.Fertility(fertility.tokenizer_file(fertility.VOCABULARY))
+    entropy = {t: measure(t.split(), len(t))[3] for t in clean}
+
+    def kept(copied):
+        rows = clean + junk + [copied] * 150
+        return {r["doc_id"]: r["kept"] for r in fertility.judged(documents([(i, t, "en", "s", 0) for i, t in enumerate(rows)])).collect()}
+
+    in_order = sorted(clean, key=entropy.get)
+    alone = kept(in_order[150])
+    for hot in (in_order[75], in_order[225], junk[0]):
+        got = kept(hot)
+        assert all(got[i] == alone[i] for i in range(304))

@@ -9,7 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import held, per_text, tokenizer_file, written
@@ -25,9 +25,10 @@ ACCURACY = 10_000
 class Width:
     """How far a band reaches: so many times from the median to the quartile below and above it.
 
-    A band reaches at least ``least`` times the median and ``floor``. With ``scatter``, it widens for texts of few
-    tokens, as by chance their figures scatter more. ``None`` leaves a side open. With ``by_length``, a text is only
-    held against texts of its length, in classes of powers of two.
+    A band reaches at least ``least`` times the median (``least_above`` on the upper side, if given) and ``floor``, so it
+    does not collapse where many texts have nearly one figure. With ``scatter``, it widens for texts of few
+    tokens, as by chance their figures scatter more; with ``least_scatter``, only its least width does. ``None`` leaves a
+    side open. With ``by_length``, a text is only held against texts of its length, in classes of powers of two.
     """
 
     below: float | None
@@ -36,12 +37,14 @@ class Width:
     floor: float = 0.0
     scatter: int = 0
     by_length: bool = False
+    least_above: float | None = None
+    least_scatter: int = 0
 
 
 WIDTHS = {
     "chars_per_token": Width(12.0, 12.0, 0.15, scatter=100),
     "fallback_share": Width(None, 12.0, 0.0, floor=0.05, scatter=100),
-    "token_entropy": Width(4.75, 25.0, 0.05, by_length=True),
+    "token_entropy": Width(4.75, 25.0, 0.05, by_length=True, least_above=0.3, least_scatter=200),
 }
 METRICS = tuple(WIDTHS)
 
@@ -143,11 +146,15 @@ def measured(docs: DataFrame, keep: list[str], text: str = "text", path: str | N
 
 
 def bands(figures: DataFrame, by_length: bool) -> DataFrame:
-    """For each language, or language and class of length: the quartiles of its figures over all texts that pass the base rules."""
+    """For each language, or language and class of length: the quartiles of its figures over ``figures``."""
     quartiles = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    passed = figures.where(~F.col("base_failed"))
     chosen = [F.percentile_approx(m, quartiles, ACCURACY).alias(f"{m}_quartiles") for m, w in WIDTHS.items() if w.by_length == by_length]
-    return passed.groupBy("band", *["length_class"] * by_length).agg(*chosen)
+    return figures.groupBy("band", *["length_class"] * by_length).agg(*chosen)
+
+
+def different_texts(figures: DataFrame) -> DataFrame:
+    """The figures of texts that pass the base rules, one row for each different text of a language."""
+    return figures.where(~F.col("base_failed")).select("band", "length_class", "text1__", "text2__", *METRICS).dropDuplicates(["band", "text1__", "text2__"])
 
 
 def _inside(metric: str) -> Column:
@@ -156,9 +163,11 @@ def _inside(metric: str) -> Column:
     low, middle, high = [F.col(f"{metric}_quartiles")[i] for i in range(3)]
     slack = F.sqrt(F.lit(1.0) + F.lit(width.scatter) / F.greatest(F.col("n_tokens"), F.lit(1)))
     inside = F.lit(True)
-    for times, part, side in ((width.below, middle - low, -1), (width.above, high - middle, 1)):
+    short = F.sqrt(F.lit(1.0) + F.lit(width.least_scatter) / F.greatest(F.col("n_tokens"), F.lit(1)))
+    least_above = width.least if width.least_above is None else width.least_above
+    for times, part, side, least in ((width.below, middle - low, -1, width.least), (width.above, high - middle, 1, least_above)):
         if times is not None:
-            reach = F.greatest(F.lit(times) * part, F.lit(width.least) * middle, F.lit(width.floor)) * slack
+            reach = F.greatest(F.lit(times) * part, F.lit(least) * middle * short, F.lit(width.floor)) * slack
             inside = inside & ((figure - middle) * side <= reach)
     return F.coalesce(inside, F.lit(True))
 
@@ -169,15 +178,17 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", language: s
     ``base_failed``: under 10 words, or over 20 % of the words in repeated windows of five words. Other texts are kept
     if characters per token and the share of byte-fallback tokens lie within the bands of their language, and the
     tokens' entropy within the band of their language and length; a text without a language is held against the texts in its script. A null, empty or blank text has no
-    figures and fails the base rules. Repeated rows are judged alike; they count as often as they appear.
+    figures and fails the base rules. Repeated rows are judged alike. Quartiles are those of different texts, however many copies a text has.
     """
-    rows = docs.select(F.col(key).alias("key__"), F.col(language).alias("language__"), F.col(text).alias("text__"))
-    figures = measured(rows, ["key__", "language__"], "text__", path)
+    hashes = [F.xxhash64(F.lit(i), F.col(text)).alias(f"text{i}__") for i in (1, 2)]
+    rows = docs.select(F.col(key).alias("key__"), F.col(language).alias("language__"), F.col(text).alias("text__"), *hashes)
+    figures = measured(rows, ["key__", "language__", "text1__", "text2__"], "text__", path)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     band = F.coalesce(F.concat(F.lit("language "), "language__"), F.concat(F.lit("script "), "script"), F.lit("none"))
     length = F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1))))
     figures = written(figures.select("*", failed.alias("base_failed"), band.alias("band"), length.alias("length_class")))
-    by_language, by_length = written(bands(figures, False)), written(bands(figures, True))
+    texts = written(different_texts(figures))
+    by_language, by_length = written(bands(texts, False)), written(bands(texts, True))
     inside = [_inside(metric) for metric in METRICS]
     verdict = ~F.col("base_failed") & inside[0] & inside[1] & inside[2]
     return figures.join(by_language, "band", "left").join(by_length, ["band", "length_class"], "left").select(
