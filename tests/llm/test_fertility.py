@@ -64,3 +64,18 @@ def test_copies_of_one_text_leave_the_bands_alone(documents):
     for hot in (in_order[75], in_order[225], junk[0]):
         got = kept(hot)
         assert all(got[i] == alone[i] for i in range(304))
+
+
+def test_long_or_rare_junk_is_held_against_other_classes(documents):
+    draw, stems = random.Random(8), "water people house school light world small great under never time long hand year work play".split()
+    common = [stem + end for stem in stems for end in ("", "s", "er", "ing", "ed")]
+
+    def of(words, n):
+        return " ".join(draw.choice(words) for _ in range(n))
+
+    rows = [(i, of(common, draw.randrange(90, 120)), "en") for i in range(80)]
+    rows += [(100, of(common, 6000), "en"), (101, of(common[:30], 6000), "en"), (102, of(common[:30], 6000), "en"), (103, of(common, 12), "en")]
+    rows += [(104, of(common, 6000), "xx"), (105, of(common[:30], 6000), "xx")]
+    got = {r["doc_id"]: r for r in fertility.judged(documents([(*row, "s", 0) for row in rows])).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert {i for i, r in got.items() if not r["kept"]} == {101, 102, 105}

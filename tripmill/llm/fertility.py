@@ -17,6 +17,10 @@ from tripmill.llm.common import held, per_text, tokenizer_file, written
 VOCABULARY = "piece_bpe_32k.model"
 REMEMBERED = 250_000
 LONGEST_REMEMBERED = 64
+#: A class of length with fewer different texts has no band of its own.
+LEAST_TEXTS = 20
+#: The band of all texts; names of other bands are longer.
+ALL = "all"
 #: Relative accuracy of the quartiles.
 ACCURACY = 10_000
 
@@ -149,7 +153,7 @@ def bands(figures: DataFrame, by_length: bool) -> DataFrame:
     """For each language, or language and class of length: the quartiles of its figures over ``figures``."""
     quartiles = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     chosen = [F.percentile_approx(m, quartiles, ACCURACY).alias(f"{m}_quartiles") for m, w in WIDTHS.items() if w.by_length == by_length]
-    return figures.groupBy("band", *["length_class"] * by_length).agg(*chosen)
+    return figures.groupBy("band", *["length_class"] * by_length).agg(*chosen, F.count("*").alias("n"))
 
 
 def different_texts(figures: DataFrame) -> DataFrame:
@@ -157,6 +161,41 @@ def different_texts(figures: DataFrame) -> DataFrame:
     return figures.where(~F.col("base_failed")).select("band", "length_class", "text1__", "text2__", *METRICS).dropDuplicates(["band", "text1__", "text2__"])
 
 
+def length_bands(texts: DataFrame) -> DataFrame:
+    """For each language and class of length: the quartiles its texts are held against, and ``eased``.
+
+    A class of fewer than ``LEAST_TEXTS`` different texts takes the band of the nearest shorter class of its language
+    that has them, else of the nearest longer one, else of the whole language; a language without so many texts takes
+    that of all texts, found the same way, and in a table of few texts that of the whole table. Shorter texts have a
+    lower entropy: if the band is of longer texts, its lower side is lowered by ``eased`` bits, one for each halving,
+    which is the most that a text can have less than its halves on average.
+    """
+    names = [f"{m}_quartiles" for m, w in WIDTHS.items() if w.by_length]
+    once = texts.dropDuplicates(["text1__", "text2__"]).withColumn("band", F.lit(ALL))
+    both = texts.unionByName(once)
+    classes, whole = bands(both, True), bands_of_all(both)
+    used = F.struct(*names, F.col("length_class").alias("used"))
+    enough = F.when(F.col("n") >= LEAST_TEXTS, used)
+    order = Window.partitionBy("band").orderBy("length_class")
+    shorter = F.last(enough, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    longer = F.first(enough, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    found = classes.select("band", "length_class", F.coalesce(shorter, longer).alias("near")).join(whole, "band")
+    fits = (F.col("band") == ALL) | (F.col("n_whole") >= LEAST_TEXTS)
+    found = written(found.select("band", "length_class", F.coalesce("near", F.when(fits, F.col("whole"))).alias("found")))
+    any_ = found.where(F.col("band") == ALL).select("length_class", F.col("found").alias("any"))
+    chosen = found.where(F.col("band") != ALL).join(any_, "length_class").select("band", "length_class", F.coalesce("found", "any").alias("chosen"))
+    eased = F.greatest(F.col("chosen.used") - F.col("length_class"), F.lit(0)).alias("eased")
+    return chosen.select("band", "length_class", *[F.col("chosen")[name].alias(name) for name in names], eased)
+
+
+def bands_of_all(texts: DataFrame) -> DataFrame:
+    """For each language: the band by length of its texts of all lengths, at their median class, and how many these are."""
+    quartiles = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    chosen = [F.percentile_approx(m, quartiles, ACCURACY).alias(f"{m}_quartiles") for m, w in WIDTHS.items() if w.by_length]
+    used = F.percentile_approx("length_class", 0.5).alias("used")
+    return texts.groupBy("band").agg(F.struct(*chosen, used).alias("whole"), F.count("*").alias("n_whole"))
+
+
 def _inside(metric: str) -> Column:
     """Whether a figure is within its band; true where there is no figure or no band."""
     width, figure = WIDTHS[metric], F.col(metric)
@@ -168,7 +207,8 @@ def _inside(metric: str) -> Column:
     for times, part, side, least in ((width.below, middle - low, -1, width.least), (width.above, high - middle, 1, least_above)):
         if times is not None:
             reach = F.greatest(F.lit(times) * part, F.lit(least) * middle * short, F.lit(width.floor)) * slack
-            inside = inside & ((figure - middle) * side <= reach)
+            eased = F.col("eased") if width.by_length and side < 0 else F.lit(0)
+            inside = inside & ((figure - middle) * side - eased <= reach)
     return F.coalesce(inside, F.lit(True))
 
 
@@ -188,7 +228,7 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", language: s
     length = F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1))))
     figures = written(figures.select("*", failed.alias("base_failed"), band.alias("band"), length.alias("length_class")))
     texts = written(different_texts(figures))
-    by_language, by_length = written(bands(texts, False)), written(bands(texts, True))
+    by_language, by_length = written(bands(texts, False).drop("n")), written(length_bands(texts))
     inside = [_inside(metric) for metric in METRICS]
     verdict = ~F.col("base_failed") & inside[0] & inside[1] & inside[2]
     return figures.join(by_language, "band", "left").join(by_length, ["band", "length_class"], "left").select(
