@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from tripmill.llm import near, simhash
 
 
@@ -43,3 +45,17 @@ def test_odd_rows(odd):
     # Rows without words are one group; of the equal texts the smallest key stays.
     assert sorted(kept, key=str) == sorted([1, None, 4, 5, 6, 8, 9], key=str)
     assert near.deduplicate(odd.limit(0)).count() == 0
+
+
+def test_crowded_block_joins_texts_with_a_repeated_word(documents, monkeypatch):
+    sketches = near._sketches
+    monkeypatch.setattr(near, "_sketches", lambda *a: sketches(*a).withColumn("blocks", F.array(F.lit(1).cast("long"))))
+    monkeypatch.setattr(near, "CROWD", 4)
+    monkeypatch.setattr(near, "LEADERS", 1)
+    draw = random.Random(3)
+    base = [f"w{draw.randrange(5000)}" for _ in range(200)]
+    rows = [(i, " ".join(edited(base, 2, draw)), "en", "s", 0) for i in range(10)]
+    for i in range(10, 18, 2):
+        text = " ".join(f"v{draw.randrange(5000)}" for _ in range(84))
+        rows += [(i, text, "en", "s", 0), (i + 1, text + " same" * 24, "en", "s", 0)]
+    assert sorted(r["doc_id"] for r in near.deduplicate(documents(rows)).collect()) == [0, 10, 12, 14, 16]

@@ -29,7 +29,7 @@ BLOCKS, SAMPLES = 16, 5
 CROWD = 24
 #: In larger ones, all are first compared with this many of them.
 LEADERS = 4
-#: Texts of similarity 0.8 differ in more SimHash bits with a probability of about 0.0002.
+#: Texts of similarity 0.8 differ in more bits with a probability of about 0.0002, if their SimHashes are of sets of shingles.
 MOST_BITS = 20
 #: One bit of each of so many min-wise samples; texts of similarity 0.8 differ in a tenth of them, and in over 136 of
 #: 1,024 with a probability of about 0.0002.
@@ -73,7 +73,7 @@ def _sketches(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
         def one(text):
             hashes = simhash.hashes_of(text, words)
             different = np.unique(hashes)
-            return xxhash.xxh3_128_hexdigest(different.tobytes()), simhash.majority(hashes), block_keys(different, factors)
+            return xxhash.xxh3_128_hexdigest(different.tobytes()), simhash.majority(different), block_keys(different, factors)
 
         return one
 
