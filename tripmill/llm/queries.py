@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import ann, bpe, chat, fertility, html, mixing, sharding, simhash, toxicity, unigram
+from tripmill.llm import ann, bpe, chat, fertility, html, interaction, mixing, sharding, simhash, toxicity, unigram
 from tripmill.llm.common import read
 
 
@@ -60,6 +60,10 @@ def op10_token_fertility(spark: SparkSession, folder: str) -> DataFrame:
     return fertility.judged(read(spark, folder, "documents"))
 
 
+def op12_filter_interaction(spark: SparkSession, folder: str) -> DataFrame:
+    return interaction.audit(interaction.cells(read(spark, folder, "documents"), read(spark, folder, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_learned_partitions,
         op9_bpe_codec,
         op10_token_fertility,
+        op12_filter_interaction,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_filter_interaction": interaction.AUDIT_SQL}
