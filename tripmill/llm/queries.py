@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import ann, bpe, chat, fertility, html, interaction, mixing, sharding, simhash, toxicity, unigram
+from tripmill.llm import ann, assignments, bpe, chat, fertility, html, interaction, mixing, sharding, simhash, toxicity, unigram
 from tripmill.llm.common import read
 
 
@@ -64,6 +64,10 @@ def op12_filter_interaction(spark: SparkSession, folder: str) -> DataFrame:
     return interaction.audit(interaction.cells(read(spark, folder, "documents"), read(spark, folder, "labels")))
 
 
+def op13_secret_assignments(spark: SparkSession, folder: str) -> DataFrame:
+    return assignments.digests(assignments.find(read(spark, folder, "documents"), ["doc_id"]), ["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_bpe_codec,
         op10_token_fertility,
         op12_filter_interaction,
+        op13_secret_assignments,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op12_filter_interaction": interaction.AUDIT_SQL}
