@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import ann, assignments, bpe, chat, fertility, html, interaction, mixing, sharding, simhash, toxicity, unigram
+from tripmill.llm import alignment, ann, assignments, bpe, chat, fertility, html, interaction, mixing, sharding, simhash, toxicity, unigram
 from tripmill.llm.common import read
 
 
@@ -60,6 +60,11 @@ def op10_token_fertility(spark: SparkSession, folder: str) -> DataFrame:
     return fertility.judged(read(spark, folder, "documents"))
 
 
+def op11_pair_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return alignment.digests(alignment.align(docs, ["doc_id"], alignment.count_links(docs)), ["doc_id"])
+
+
 def op12_filter_interaction(spark: SparkSession, folder: str) -> DataFrame:
     return interaction.audit(interaction.cells(read(spark, folder, "documents"), read(spark, folder, "labels")))
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_learned_partitions,
         op9_bpe_codec,
         op10_token_fertility,
+        op11_pair_alignment,
         op12_filter_interaction,
         op13_secret_assignments,
     )
