@@ -88,7 +88,7 @@ def test_empty_table_and_texts_without_tokens(odd):
 
 
 def test_pieces_are_remembered_in_generations(monkeypatch):
-    split = [alignment.CUT.split(text) for text in texts(60, 8) if text]
+    split = [pieces for text in texts(60, 8) if (pieces := alignment.pieces_of(text))]
     told = lambda known, pieces: [one and (one.n_a, one.n_b, one.n_links) for one in known.of([pieces])[0]]
     wanted = [told(known, pieces) for known in [alignment.Remembered((A, B))] for pieces in split]
     monkeypatch.setattr(alignment, "REMEMBERED", 30)

@@ -34,9 +34,10 @@ from tripmill.llm.common import OUT_ROWS, held, ship, tokenizer_file, written
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Both vocabularies start a token at a single space with a word behind it, so texts are cut there and pieces remembered.
 CUT = re.compile(r"(?<=[^ ]) (?=\S)")
+MORE_SPACE = re.compile(r" (?!\S)")
 LONGEST_REMEMBERED = 64
 #: Two generations of so many pieces are remembered in a Python worker.
-REMEMBERED = 150_000
+REMEMBERED = 200_000
 #: Links that a task gathers before it adds them up.
 GATHERED = 2_000_000
 #: Keys of one group of the hash, and of one bucket of it, on average.
@@ -74,31 +75,48 @@ class TokenizerPair:
         if [number for number, _ in tokens] != list(range(len(tokens))):
             raise ValueError(f"{path_a}: ids are not gapless")
         n = self.b.get_piece_size()
+        self.names = [*map(str, range(max(n, len(tokens))))]
         self.bytes_b = [bytes([int(self.b.id_to_piece(i)[1:-1], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(n)]
+        self.size_a, self.size_b = (np.array([len(one) for one in of], dtype=np.int64) for of in (self.bytes_a, self.bytes_b))
 
     def encode(self, pieces: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of a space and each piece; the second vocabulary's encoder puts that space there itself."""
         first = self.a.encode_batch_fast([" " + piece for piece in pieces], add_special_tokens=False)
         return zip([one.ids for one in first], self.b.encode(pieces, num_threads=1), strict=True)
 
-    def align(self, piece: str, a: list[int], b: list[int], told: bool = True) -> Piece | None:
-        """None if the tokens of either vocabulary do not spell the piece."""
-        spelled = b" " + piece.encode()
-        if b"".join([self.bytes_a[i] for i in a]) != spelled or b"".join([self.bytes_b[i] for i in b]) != spelled:
-            return None
-        groups, links, from_a, from_b, end_a, at_b, end_b = [], [], 0, 0, 0, 0, 0
-        size_a, size_b = self.bytes_a, self.bytes_b
-        for at_a, one in enumerate(a):
-            end_a += len(size_a[one])
-            while end_b < end_a:
-                end_b += len(size_b[b[at_b]])
-                at_b += 1
-            if end_a == end_b:
-                if told:
-                    groups.append(",".join(map(str, a[from_a : at_a + 1])) + "|" + ",".join(map(str, b[from_b:at_b])))
-                links.append(one << 32 | b[at_b - 1])
-                from_a, from_b = at_a + 1, at_b
-        return Piece(len(a), len(b), len(links), ";".join(groups) if told else "", array("q", links).tobytes())
+    def align(self, pieces: list[str], told: bool) -> list[Piece | None]:
+        """What each piece adds; None for one that the tokens of either vocabulary do not spell.
+
+        Pieces stand one behind the other: as both vocabularies spell each, their ends are numbers that compare.
+        """
+        ids = list(zip(*self.encode(pieces), strict=True))
+        spelled = [b" " + piece.encode() for piece in pieces]
+        good = [True] * len(pieces)
+        for one, size in zip(ids, (self.bytes_a, self.bytes_b), strict=True):
+            if b"".join([size[i] for of in one for i in of]) != b"".join(spelled):
+                good = [ok and b"".join([size[i] for i in of]) == raw for ok, of, raw in zip(good, one, spelled, strict=True)]
+        kept = [[of for of, ok in zip(one, good, strict=True) if ok] for one in ids]
+        flat = [np.fromiter((i for of in one for i in of), dtype=np.int64) for one in kept]
+        ends = [np.cumsum(size[of]) for size, of in zip((self.size_a, self.size_b), flat, strict=True)]
+        _, at_a, at_b = np.intersect1d(*ends, assume_unique=True, return_indices=True)
+        links = flat[0][at_a] << 32 | flat[1][at_b]
+        groups = []
+        if told:
+            names = [[*map(self.names.__getitem__, of.tolist())] for of in flat]
+            cuts = [[0, *(at + 1).tolist()] for at in (at_a, at_b)]
+            ranges = zip(cuts[0], cuts[0][1:], cuts[1], cuts[1][1:])
+            groups = [",".join(names[0][i:j]) + "|" + ",".join(names[1][k:m]) for i, j, k, m in ranges]
+        # Each piece ends in a link: the last one up to its last byte.
+        last = np.searchsorted(ends[0][at_a], np.cumsum([len(raw) for raw, ok in zip(spelled, good, strict=True) if ok]), "right").tolist()
+        made, low, which = [], 0, 0
+        for ok, of_a, of_b in zip(good, *ids, strict=True):
+            if not ok:
+                made.append(None)
+                continue
+            high = last[which]
+            made.append(Piece(len(of_a), len(of_b), high - low, ";".join(groups[low:high]), links[low:high].tobytes()))
+            low, which = high, which + 1
+        return made
 
     def pair_bound(self) -> int:
         """How many pairs of ids there are of which one's bytes end the other: no more can ever be linked."""
@@ -108,10 +126,17 @@ class TokenizerPair:
         return ends(self.bytes_a, there[1]) + ends(self.bytes_b, there[0]) - equal
 
 
+def pieces_of(text: str | None) -> list[str]:
+    """A text cut where both vocabularies always start a token; a text of nothing has no pieces."""
+    if not text:
+        return []
+    return CUT.split(text) if text[0] == " " or MORE_SPACE.search(text) else text.split(" ")
+
+
 def _pieces(column: pa.Array) -> Iterator[list[list[str]]]:
-    """Texts of a batch as pieces, in parts that are held at once; a text of nothing has none."""
+    """Texts of a batch as pieces, in parts that are held at once."""
     for start in range(0, len(column), OUT_ROWS):
-        yield [CUT.split(text) if text else [] for text in (value.as_py() for value in column.slice(start, OUT_ROWS))]
+        yield [pieces_of(value.as_py()) for value in column.slice(start, OUT_ROWS)]
 
 
 def mixed(keys: np.ndarray, seed: int | np.ndarray) -> np.ndarray:
@@ -216,7 +241,7 @@ class Remembered:
         self.pair, self.counts, self.young, self.old = TokenizerPair(*paths), counts, {}, {}
 
     def _made(self, pieces: list[str]) -> list[Piece | None]:
-        made = [self.pair.align(piece, a, b, self.counts is not None) for piece, (a, b) in zip(pieces, self.pair.encode(pieces), strict=True)]
+        made = self.pair.align(pieces, self.counts is not None)
         return made if self.counts is None else self.counts.looked_up(made)
 
     def of(self, texts: list[list[str]]) -> list[list[Piece | None]]:
