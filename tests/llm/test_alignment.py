@@ -111,6 +111,15 @@ def test_perfect_hash(n):
     assert (pairs.places(strange) == -1).all()
 
 
+def test_faster_encoder_gives_the_same_ids():
+    pair = alignment.TokenizerPair(A, B)
+    assert pair.ranked is not None
+    points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000]
+    for start in range(0, len(points), 1000):
+        text = "".join(f"a{chr(p)}b {chr(p)}  {chr(p)}{chr(p)}1\n{chr(p)} '{chr(p)}s" for p in points[start : start + 1000])
+        assert pair.ranked.encode_ordinary(text) == pair.a.encode(text, add_special_tokens=False).ids
+
+
 def test_bound_holds_all_linked_pairs():
     pair = alignment.TokenizerPair(A, B)
     assert pair.pair_bound() == 324_302  # fixed by the two files
