@@ -48,6 +48,26 @@ def test_rank_array_and_heap_merge_alike(coder):
         assert coder.merge_short(list(parts)) == coder.merge_long(list(parts))
 
 
+def test_many_words_in_the_same_rank_arrays(coder):
+    words = [w.encode() for text in texts(400, 4) for w in coder.pattern.findall(text)]
+    words = [w for w in words if len(w) <= bpe.SHORT_WORD] + [b"a", b"\xff", b"aa" * 32]
+    found = coder.merge_many(words)
+    for word, ids in zip(words, found, strict=True):
+        assert list(memoryview(ids).cast("I")) == coder.merge_short([coder.first[b] for b in word])
+    assert coder.merge_many([]) == []
+
+
+def test_prepared_pieces_and_generations(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 40)
+    prepared, library = bpe.BytePairCoder(BYTES), Tokenizer.from_file(BYTES)
+    some = texts(600, 6)
+    for start in range(0, len(some), 50):
+        prepared.prepare([*some[start : start + 50], None, ""])
+        for text in some[start : start + 50]:
+            assert list(prepared.encode(text)) == library.encode(text, add_special_tokens=False).ids
+    assert len(prepared.old) and len(prepared.young) <= 40 + 50 * 60
+
+
 def test_codec_of_odd_rows(odd):
     library = Tokenizer.from_file(BYTES)
     wanted = []

@@ -106,7 +106,8 @@ def per_text(
 ) -> DataFrame:
     """A row for each row: the columns ``keep`` and what a function makes of the whole text.
 
-    ``make`` runs once in each task and gives the function, so that vocabularies are loaded there and not shipped.
+    ``make`` runs once in each task and gives the function, so that vocabularies are loaded there and not shipped. If the
+    function has an attribute ``prepare``, that is called with the texts of each small batch first.
     Batches come through Arrow; texts are taken from a batch one at a time, and
     results leave in small batches.
     """
@@ -116,9 +117,12 @@ def per_text(
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
+        prepare = getattr(one, "prepare", None)
         for batch in batches:
             for start in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(start, OUT_ROWS)
+                if prepare is not None:
+                    prepare(value.as_py() for value in part.column("text__"))
                 made = list(zip(*[one(value.as_py()) for value in part.column("text__")], strict=True))
                 kept = [part.column(f"keep{i}__") for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*kept, *[pa.array(column, kinds[i]) for i, column in enumerate(made)]], names)
