@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from tripmill.llm import simhash
-from tripmill.llm.common import hold_nothing, per_text, ship, written
+from tripmill.llm.common import Table, hold_nothing, per_text, ship, written
 from tripmill.llm.components import components
 
 WORDS = 5
@@ -96,7 +96,7 @@ def _bits(texts: DataFrame, words: int) -> DataFrame:
     return per_text(texts, "text__", ["shingles"], "bits array<bigint>", make)
 
 
-def _similar(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """The candidate pairs ``a, b`` whose texts are similar enough."""
     ship(pairs.sparkSession)
 
@@ -122,84 +122,141 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """``row1__, row2__, id__, group__, first__``: for each row its group, and whether it is what stays of it.
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are not in one group yet."""
+    for end in ("a", "b"):
+        pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    return pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b").distinct()
 
-    Rows are in one group if a chain of texts leads from one to the other whose neighbours are near-duplicates. Of a
-    group, the smallest key stays, null last, then the smallest content hash; rows equal in all columns are one. Texts with
-    the same shingles, and all texts without words, are near-duplicates. Of a pair at exactly the least similarity, 0.2 %
-    are missed, of closer ones far fewer.
 
-    Texts with the same shingles are one class, compared once. In a crowded block, every class is compared with a few
-    leaders; what then does not belong to the block's main group is compared with all of the block outside its own,
-    as far as SimHash and a sketch of 1,024 bits let it pass (all but 0.04 % of pairs at the least similarity).
-    """
-    rows = written(_sketches(docs, key, text, words))
+def _grouped(docs: DataFrame, key: str, text: str, words: int, similarity: float) -> tuple[DataFrame, list[Table]]:
+    """The rows of ``groups`` and the tables that they are read from; all others are dropped when they have been read."""
+    kept: list[Table] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(Table(df))
+        return kept[-1].rows
+
+    rows = keep(_sketches(docs, key, text, words))
     rank = F.struct(F.col("id__").isNull().alias("none"), F.col("id__").alias("id"), F.col("row1__").alias("row1"), F.col("row2__").alias("row2"))
-    classes = written(rows.groupBy("shingles").agg(F.min(F.struct(rank.alias("rank"), "print", "blocks")).alias("best")).select("shingles", "best.*"))
+    classes = Table(rows.groupBy("shingles").agg(F.min(F.struct(rank.alias("rank"), "print", "blocks")).alias("best")).select("shingles", "best.*"))
+    named = docs.select(*row_hashes(docs), F.col(text).alias("text__"))
 
-    prints = written(classes.groupBy("print").agg(F.min("shingles").alias("first")))
-    linked = simhash.links(prints.select("print"))
-    ends = [prints.select(F.col("print").alias(end), F.col("first").alias(f"first_{end}")) for end in ("a", "b")]
-    by_print = linked.join(ends[0], "a").join(ends[1], "b").select(*_pair("first_a", "first_b"))
-    equal = classes.join(prints, "print").where("shingles <> first").select(*_pair("shingles", "first"))
-
-    members = written(classes.select("shingles", "print", F.posexplode("blocks").alias("block", "value")))
-    where = ["block", "value"]
-    sizes = written(members.groupBy(*where).count().where(F.col("count") > 1))
-    crowded = sizes.where(F.col("count") > CROWD).select(*where)
-    sparse = members.join(sizes.where(F.col("count") <= CROWD).select(*where), where).select("shingles", *where)
-    sparse = written(sparse)
-    meet = sparse.select(F.col("shingles").alias("a"), *where).join(sparse.select(F.col("shingles").alias("b"), *where), where)
-    by_block = meet.where(F.col("a") < F.col("b")).select("a", "b")
-
-    dense = written(members.join(crowded, where))
+    def texts_for(used: DataFrame) -> Table:
+        used = used.distinct().join(classes.rows, "shingles").select("shingles", F.col("rank.row1").alias("row1__"), F.col("rank.row2").alias("row2__"))
+        wanted = Table(used)
+        found = Table(named.join(wanted.rows, ["row1__", "row2__"]).select("shingles", "text__").dropDuplicates(["shingles"]))
+        wanted.drop()
+        return found
+
+    def similar(pairs: Table) -> Table:
+        texts = texts_for(pairs.rows.select(F.explode(F.array("a", "b")).alias("shingles")))
+        found = Table(_similar(pairs.rows, texts.rows, words, similarity))
+        texts.drop()
+        return found
+
+    members = Table(classes.rows.select("shingles", F.explode("blocks").alias("value")))
+    sizes = Table(members.rows.groupBy("value").agg(F.count("*").alias("count"), F.min("shingles").alias("least")).where(F.col("count") > 1))
+    shared = Table(members.rows.join(sizes.rows, "value"))
+    members.drop()
+    # The least members of a class's blocks mostly agree, so the first round compares each class with one other only.
+    nearest = shared.rows.groupBy("shingles").agg(F.min("least").alias("least")).where("least < shingles")
+    first = Table(nearest.select(F.col("least").alias("a"), F.col("shingles").alias("b")))
+    edges = [similar(first)]
+    roots = Table(components(edges[0].rows))
+
+    # The second round: what shares a block, a leader or a fingerprint and is not in one group yet.
+    grouped = shared.rows.join(roots.rows.withColumnRenamed("node", "shingles"), "shingles", "left").withColumn("root", F.coalesce("root", "shingles"))
+    sparse = grouped.where(F.col("count") <= CROWD).select("shingles", "value", "root")
+    several = Table(sparse.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("value"))
+    sparse = Table(sparse.join(several.rows, "value"))
+    several.drop()
+    meet = sparse.rows.select(F.col("shingles").alias("a"), F.col("root").alias("root_a"), "value")
+    meet = meet.join(sparse.rows.select(F.col("shingles").alias("b"), F.col("root").alias("root_b"), "value"), "value")
+    by_block = meet.where("a < b AND root_a <> root_b").select("a", "b")
+
+    dense = Table(shared.rows.where(F.col("count") > CROWD).select("shingles", "value", "count"))
+    shared.drop()
     # What shares its blocks with most others is nearest to the middle of its group.
-    middle = dense.join(sizes, where).groupBy("shingles").agg(F.sum("count").alias("shared"))
-    dense = written(dense.join(written(middle), "shingles"))
+    middle = Table(dense.rows.groupBy("shingles").agg(F.sum("count").alias("shared")))
+    ranked = dense.rows.join(middle.rows, "shingles")
     salt = F.pmod(F.xxhash64("shingles"), F.lit(LEADERS))
-    leaders = written(dense.groupBy(*where, salt.alias("salt")).agg(F.max_by("shingles", F.struct("shared", "shingles")).alias("leader")))
-    by_leader = dense.join(leaders, where).where("shingles <> leader").select(*_pair("shingles", "leader"))
-    pairs = written(by_print.unionByName(equal).unionByName(by_block).unionByName(by_leader).distinct())
-
-    named = docs.select(*row_hashes(docs), F.col(text).alias("text__"))
+    leaders = Table(ranked.groupBy("value", salt.alias("salt")).agg(F.max_by("shingles", F.struct("shared", "shingles")).alias("leader")))
+    middle.drop()
+    by_leader = dense.rows.join(leaders.rows, "value").where("shingles <> leader").select(*_pair("shingles", "leader"))
 
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        return texts_for(pairs.select(F.explode(F.array("a", "b")).alias("shingles")))
-
-    def texts_for(used: DataFrame) -> DataFrame:
-        used = used.distinct().join(classes, "shingles").select("shingles", F.col("rank.row1").alias("row1__"), F.col("rank.row2").alias("row2__"))
-        found = named.join(written(used), ["row1__", "row2__"]).select("shingles", "text__")
-        return written(found.dropDuplicates(["shingles"]))
-
-    edges = written(_similar(pairs, classes, texts_of(pairs), words, similarity))
-    roots = components(edges)
-    if dense.limit(1).count():
-        placed = dense.join(roots.withColumnRenamed("node", "shingles"), "shingles", "left").withColumn("root", F.coalesce("root", "shingles"))
-        bits = _bits(texts_for(dense.select("shingles")), words)
-        placed = written(placed.join(bits, "shingles"))
-        main = placed.groupBy(*where, "root").count().groupBy(*where).agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-        apart = placed.join(written(main), where).where("root <> main").select(
-            F.col("shingles").alias("a"), F.col("print").alias("print_a"), F.col("root").alias("root_a"), F.col("bits").alias("bits_a"), *where
+    prints = Table(classes.rows.groupBy("print").agg(F.min("shingles").alias("first")))
+    linked = simhash.links(prints.rows.select("print"))
+    ends = [prints.rows.select(F.col("print").alias(end), F.col("first").alias(f"first_{end}")) for end in ("a", "b")]
+    by_print = linked.join(ends[0], "a").join(ends[1], "b").select(*_pair("first_a", "first_b"))
+    equal = classes.rows.join(prints.rows, "print").where("shingles <> first").select(*_pair("shingles", "first"))
+
+    others = _apart(by_print.unionByName(equal).unionByName(by_leader), roots.rows)
+    pairs = Table(by_block.unionByName(others).distinct().join(first.rows, ["a", "b"], "left_anti"))
+    for table in (sparse, leaders, prints, roots):
+        table.drop()
+    edges.append(similar(pairs))
+    roots = Table(components(edges[0].rows.unionByName(edges[1].rows)))
+
+    if dense.rows.limit(1).count():
+        crowded = dense.rows.join(classes.rows.select("shingles", "print"), "shingles")
+        crowded = crowded.join(roots.rows.withColumnRenamed("node", "shingles"), "shingles", "left").withColumn("root", F.coalesce("root", "shingles"))
+        texts = texts_for(dense.rows.select("shingles"))
+        placed = Table(crowded.join(_bits(texts.rows, words), "shingles"))
+        texts.drop()
+        main = Table(placed.rows.groupBy("value", "root").count().groupBy("value").agg(F.max_by("root", F.struct("count", "root")).alias("main")))
+        apart = Table(
+            placed.rows.join(main.rows, "value").where("root <> main").select(
+                F.col("shingles").alias("a"), F.col("print").alias("print_a"), F.col("root").alias("root_a"), F.col("bits").alias("bits_a"), "value"
+            )
         )
+        main.drop()
         near = F.bit_count(F.col("print").bitwiseXOR(F.col("print_a"))) <= MOST_BITS
         different = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits_a")[i])) for i in range(1, SKETCH_BITS // 64)), F.bit_count(F.col("bits")[0].bitwiseXOR(F.col("bits_a")[0])))
-        apart = written(apart)
-        same = [placed[c] == apart[c] for c in where]
-        met = placed.join(apart, [*same, F.col("root") != F.col("root_a"), near, different <= MOST_DIFFERENT])
+        met = placed.rows.join(apart.rows, [placed.rows["value"] == apart.rows["value"], F.col("root") != F.col("root_a"), near, different <= MOST_DIFFERENT])
         more = met.select(*_pair("a", "shingles")).distinct()
-        more = written(more.join(pairs, ["a", "b"], "left_anti"))
-        edges = written(edges.unionByName(_similar(more, classes, texts_of(more), words, similarity)))
-        roots = components(edges)
-    placed = written(classes.join(roots.withColumnRenamed("node", "shingles"), "shingles", "left").select("shingles", "rank", F.coalesce("root", "shingles").alias("root")))
-    best = written(placed.groupBy("root").agg(F.min("rank").alias("best")))
-    named = written(placed.join(best, "root").select("shingles", F.col("root").alias("group__"), "best"))
+        for tested in (first, pairs):
+            more = more.join(tested.rows, ["a", "b"], "left_anti")
+        more = Table(more)
+        for table in (placed, apart, roots):
+            table.drop()
+        edges.append(similar(more))
+        more.drop()
+        roots = Table(components(edges[0].rows.unionByName(edges[1].rows).unionByName(edges[2].rows)))
+    for table in (first, pairs, dense, *edges):
+        table.drop()
+    placed = classes.rows.join(roots.rows.withColumnRenamed("node", "shingles"), "shingles", "left").select("shingles", "rank", F.coalesce("root", "shingles").alias("root"))
+    placed = Table(placed)
+    best = Table(placed.rows.groupBy("root").agg(F.min("rank").alias("best")))
+    told = keep(placed.rows.join(best.rows, "root").select("shingles", F.col("root").alias("group__"), "best"))
+    for table in (classes, roots, placed, best):
+        table.drop()
     stays = (F.col("row1__") == F.col("best.row1")) & (F.col("row2__") == F.col("best.row2"))
-    return rows.select("row1__", "row2__", "id__", "shingles").join(named, "shingles").select("row1__", "row2__", "id__", "group__", stays.alias("first__"))
+    return rows.select("row1__", "row2__", "id__", "shingles").join(told, "shingles").select("row1__", "row2__", "id__", "group__", stays.alias("first__")), kept
+
+
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """``row1__, row2__, id__, group__, first__``: for each row its group, and whether it is what stays of it.
+
+    Rows are in one group if a chain of texts leads from one to the other whose neighbours are near-duplicates. Of a
+    group, the smallest key stays, null last, then the smallest content hash; rows equal in all columns are one. Texts with
+    the same shingles, and all texts without words, are near-duplicates; an empty table has no groups. Of a pair at exactly
+    the least similarity, 0.2 % are missed, of closer ones far fewer.
+
+    Texts with the same shingles are one class, compared once. In the first round a class is compared with one other of
+    its blocks; later rounds compare only what is not in one group by then, so few texts are joined twice. In a crowded
+    block, every class is compared with a few leaders; what then does not belong to the block's main group is compared
+    with all of the block outside its own, as far as SimHash and a sketch of 1,024 bits let it pass (all but 0.04 % of
+    pairs at the least similarity).
+    """
+    return _grouped(docs, key, text, words, similarity)[0]
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay: one of each group, with its own columns only."""
-    stays = written(groups(docs, key, text, words, similarity).where("first__").select("row1__", "row2__").distinct())
+    found, read_from = _grouped(docs, key, text, words, similarity)
+    stays = written(found.where("first__").select("row1__", "row2__").distinct())
+    for table in read_from:
+        table.drop()
     hashed = docs.select("*", *row_hashes(docs))
     return hashed.join(stays, ["row1__", "row2__"]).dropDuplicates(["row1__", "row2__"]).select(*docs.columns)
