@@ -1,16 +1,18 @@
 """Exact order statistics without sorting or gathering a column.
 
-``percentile`` keeps every distinct value of a column in one task. Here the ranks
-are found by narrowing value ranges instead: each round counts rows in a fixed
-number of equal-width buckets per range, keeps the bucket that holds the rank, and
-stops once few rows are left. A round is one scan of one column with map-side
-counts; the driver sees bucket counts only, never more than ``BUCKETS`` a range.
+``percentile`` keeps every distinct value of a column in one task. Here a first scan
+sketches all columns and groups at once (KLL sketches, merged map-side) and so
+brackets every wanted rank; a second scan counts the rows below each bracket and
+fetches the values inside, whatever the number of columns, groups and ranks. Only
+brackets of very many rows, and the rare one that a sketch put beside its rank, are
+narrowed on: a round counts rows in equal-width buckets and keeps the one that holds
+the rank. The driver sees quantile grids, counts and short lists, never a column.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 BUCKETS = 4096
 # A range with at most this many rows is finished by reading its values in order.
 FINISH_ROWS = 4096
+# Items of a sketch, the quantiles read from it, and how far a rank's bracket reaches: over three times the sketch's usual error.
+SKETCH, GRID, REACH = 4096, 2000, 0.004
 
 
 @dataclass(frozen=True)
@@ -107,10 +111,91 @@ def select_ranks(frame: DataFrame, ranges: Sequence[_Range]) -> dict[str, dict[i
     return found
 
 
-def group_sizes(frame: DataFrame) -> dict[str, tuple[int, float, float]]:
-    """Rows, smallest and largest value of each group of ``frame(grp, val)``."""
-    rows = _bucket_counts(frame, "grp").collect()
-    return {row["grp"]: (row["n"], row["lo"], row["hi"]) for row in rows}
+@dataclass(frozen=True)
+class _Sketched:
+    """A group's rows and its quantiles at ``GRID`` equal steps, the ends exact."""
+
+    rows: int
+    grid: tuple[float, ...]
+
+    def bracket(self, rank: int) -> tuple[float, float]:
+        reach = REACH * GRID + 1
+        at = (rank + 0.5) / self.rows * GRID
+        return self.grid[max(0, math.floor(at - reach))], self.grid[min(GRID, math.ceil(at + reach))]
+
+
+def _sketched(frame: DataFrame) -> dict[str, _Sketched]:
+    """The first scan: all groups of ``frame(grp, val)``."""
+    sketch = F.kll_sketch_agg_double("val", F.lit(SKETCH))
+    steps = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    rows = frame.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("val").alias("lo"), F.max("val").alias("hi"), sketch.alias("sketch"))
+    found = rows.select("grp", "n", "lo", "hi", F.kll_sketch_get_quantile_double("sketch", steps).alias("grid")).collect()
+    return {row["grp"]: _Sketched(row["n"], (row["lo"], *row["grid"][1:-1], row["hi"])) for row in found}
+
+
+def _brackets(sketched: _Sketched, group: str, ranks: Sequence[int]) -> list[_Range]:
+    """Disjoint ranges of values that hold the ranks, as far as the sketch knows; overlapping ones become one."""
+    spans: list[list] = []
+    for rank in sorted(set(ranks)):
+        low, high = sketched.bracket(rank)
+        if spans and low <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], high)
+            spans[-1][2].append(rank)
+        else:
+            spans.append([low, high, [rank]])
+    return [_Range(group, low, high, 0, 0, tuple(some)) for low, high, some in spans]
+
+
+def _second_scan(frame: DataFrame, sketched: Mapping[str, _Sketched], ranges: Sequence[_Range], found: dict) -> list[_Range]:
+    """Counts every part of the axis between and inside the brackets; what ranges are left over."""
+    expected = [REACH * 2 * sketched[one.group].rows * len(one.ranks) for one in ranges]
+    part = inside = None
+    by_group: dict[str, list[int]] = {}
+    for number, one in enumerate(ranges):
+        by_group.setdefault(one.group, []).append(number)
+    for group, numbers in by_group.items():
+        place = F.lit(2 * len(numbers))
+        for at, number in reversed(list(enumerate(numbers))):
+            one = ranges[number]
+            place = F.when(F.col("val") < one.low, 2 * at).when(F.col("val") <= one.high, 2 * at + 1).otherwise(place)
+        part = (F.when if part is None else part.when)(F.col("grp") == group, place)
+    for number, one in enumerate(ranges):
+        key = F.col("val") if expected[number] <= FINISH_ROWS or one.low == one.high else one.bucket().cast("double")
+        inside = (F.when if inside is None else inside.when)(one.holds(), key)
+    tagged = frame.select("grp", "val", part.alias("part")).filter("part is not null")
+    tagged = tagged.select("grp", "val", "part", F.when(F.col("part") % 2 == 1, inside).alias("key"))
+    parts: dict[tuple, list] = {}
+    for row in _bucket_counts(tagged, "grp", "part", "key").collect():
+        parts.setdefault((row["grp"], row["part"]), []).append((row["lo"], row["hi"], row["n"]))
+    left = []
+    for group, numbers in by_group.items():
+        ranks = sorted(rank for number in numbers for rank in ranges[number].ranks)
+        seen = 0
+        for place in range(2 * len(numbers) + 1):
+            for low, high, n in sorted(parts.get((group, place), [])):
+                here = tuple(rank for rank in ranks if seen <= rank < seen + n)
+                if here and low == high:
+                    found[group].update(dict.fromkeys(here, low))
+                elif here:
+                    left.append(_Range(group, low, high, seen, n, here))
+                seen += n
+    return left
+
+
+def order_statistics(frame: DataFrame, ranks: Callable[[str, int], Sequence[int]]) -> dict[str, dict[int, float]]:
+    """Values at 0-based ranks of each group of ``frame(grp, val)``; ``ranks`` gives them for a group and its rows.
+
+    Two scans as a rule, for any number of groups and ranks. Values must be finite and not null.
+    """
+    sketched = _sketched(frame)
+    found: dict[str, dict[int, float]] = {group: {} for group in sketched}
+    ranges = [one for group, of in sketched.items() for one in _brackets(of, group, ranks(group, of.rows))]
+    if not ranges:
+        return found
+    left = _second_scan(frame, sketched, ranges, found)
+    for group, values in select_ranks(frame, left).items():
+        found[group].update(values)
+    return found
 
 
 def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -131,17 +216,16 @@ def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[str,
     gives None for each.
     """
     columns = list(wanted)
-    frame = _long(df, columns)
-    sizes = group_sizes(frame)
-    starts, places = [], {}
-    for column, (n, low, high) in sizes.items():
+    places: dict[str, list[tuple[float, float]]] = {}
+
+    def ranks(column: str, n: int) -> list[int]:
         places[column] = [divmod(p * (n - 1), 1) for p in wanted[column]]
-        ranks = {int(k) for k, _ in places[column]} | {int(k) + 1 for k, part in places[column] if part > 0}
-        starts.append(_Range(column, low, high, 0, n, tuple(sorted(ranks))))
-    values = select_ranks(frame, starts)
+        return [int(k) for k, _ in places[column]] + [int(k) + 1 for k, part in places[column] if part > 0]
+
+    values = order_statistics(_long(df, columns), ranks)
     result = {}
     for column in columns:
-        if column not in sizes:
+        if column not in places:
             result[column] = [None] * len(wanted[column])
             continue
         at = values[column]
@@ -166,36 +250,17 @@ def approximate_quantiles(df: DataFrame, column: str, probabilities: Sequence[fl
     return row["q"]
 
 
-def nth_smallest(
-    df: DataFrame, group: Column, value: Column, nth, bounds: tuple[float, float] | None = None
-) -> dict[str, float]:
+def nth_smallest(df: DataFrame, group: Column, value: Column, nth: Callable[[int], int | None]) -> dict[str, float]:
     """Per group, the value at a 0-based rank chosen from the group's row count.
 
-    ``nth(rows)`` returns the rank, or None to skip the group. Known ``bounds`` of
-    the values save the pass that looks for them.
+    ``nth(rows)`` returns the rank, or None to skip the group.
     """
     # inline() keeps filters behind it, so a costly value is worked out once per row.
     cell = F.struct(group.cast("string").alias("grp"), value.cast("double").alias("val"))
     frame = df.select(F.inline(F.array(cell)))
     frame = frame.filter(F.col("grp").isNotNull() & F.col("val").isNotNull())
-    starts = []
-    if bounds is None:
-        for name, (n, low, high) in group_sizes(frame).items():
-            rank = nth(n)
-            if rank is not None:
-                starts.append(_Range(name, low, high, 0, n, (rank,)))
-    else:
-        counted: dict[str, list] = {}
-        bucket = _Range("", *bounds, 0, 0, ()).bucket()
-        for row in _bucket_counts(frame, "grp", bucket.alias("key")).collect():
-            counted.setdefault(row["grp"], []).append((row["key"], row["n"], row["lo"], row["hi"]))
-        for name, buckets in counted.items():
-            rank, seen = nth(sum(n for _, n, _, _ in buckets)), 0
-            for _, n, low, high in sorted(buckets):
-                if rank is not None and seen <= rank < seen + n:
-                    starts.append(_Range(name, low, high, seen, n, (rank,)))
-                seen += n
-    return {name: next(iter(at.values())) for name, at in select_ranks(frame, starts).items()}
+    found = order_statistics(frame, lambda _, rows: [] if (rank := nth(rows)) is None else [rank])
+    return {name: next(iter(at.values())) for name, at in found.items() if at}
 
 
 def mode(df: DataFrame, column: str):

@@ -7,12 +7,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.functions.hashing import HASH_BITS, hash48, hash_bucket
+from tripmill.functions.hashing import hash48, hash_bucket
 from tripmill.operators.quantiles import nth_smallest
 
 # Up to this many rows the top-n operator of the plan does the work.
 TOP_ROWS = 100_000
-HASH_BOUNDS = (0.0, float(2**HASH_BITS))
 
 
 def random_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
@@ -25,7 +24,7 @@ def sample_rows(df: DataFrame, n: int, key: str) -> DataFrame:
     if n <= TOP_ROWS:
         return df.orderBy(hash48(F.col(key)), F.col(key)).limit(n)
     rank = lambda rows: n - 1 if n <= rows else None
-    cut = nth_smallest(df, F.lit("all"), hash48(F.col(key)), rank, HASH_BOUNDS)
+    cut = nth_smallest(df, F.lit("all"), hash48(F.col(key)), rank)
     if not cut:
         return df
     limit = F.lit(int(cut["all"]))
@@ -64,7 +63,7 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.8) ->
     rows are ever gathered or sorted in one task. Rows without a label go to the test side.
     """
     position = hash48(F.col(key))
-    cuts = nth_smallest(df, F.col(label), position, lambda rows: training_share(rows, share), HASH_BOUNDS)
+    cuts = nth_smallest(df, F.col(label), position, lambda rows: training_share(rows, share))
     # One comparison with the label's own cut: the hash is worked out once per row.
     cut_of_label = F.lit(None).cast("bigint")
     for name, cut in cuts.items():
