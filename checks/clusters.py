@@ -82,19 +82,46 @@ def _trips(spark, folder):
 
 @check("m10_kmeans")
 def kmeans(spark, folder):
-    found = clustering.fit_clusters(_trips(spark, folder), restarts=2)
+    found = clustering.fit_clusters(_trips(spark, folder))
     return found.assign(_trips(spark, folder)).select("trip_key", "cluster")
 
 
+FOUR = ["trip_distance", "fare_amount", "passenger_count", "pickup_hour"]
+
+
+@check(
+    "m10_kmeans_fixed_point",
+    with_sql(fx.TRIPS) + "SELECT 3::BIGINT AS clusters, count(*) AS trips, 0::BIGINT AS nearer_elsewhere, 0::BIGINT AS centres_off FROM trips",
+)
+def kmeans_fixed_point(spark, folder):
+    """Trips nearer to another cluster's mean than to their own one's, and centres that are not their cluster's mean."""
+    trips = _trips(spark, folder)
+    found = clustering.fit_clusters(trips, wanted=FOUR)
+    centres = found.model.stages[-1].clusterCenters()
+    rows = clustering.scaled_features(found.assign(trips), FOUR).select("cluster", F.array(*[f"{c}_z" for c in FOUR]).alias("x"))
+    means = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(F.col("x")[i]) for i in range(len(FOUR))]).alias("mean"))
+    packed = F.array_sort(F.collect_list(F.struct("cluster", "mean", "n")))
+    far = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)
+    known = F.array(*[F.array(*[F.lit(float(v)) for v in centre]) for centre in centres])
+    rows = rows.select("cluster", "x", means.agg(packed).scalar().alias("all"))
+    own = F.element_at(F.filter("all", lambda one: one["cluster"] == F.col("cluster")), 1)
+    least = F.array_min(F.transform("all", lambda one: far(F.col("x"), one["mean"])))
+    off = F.size(F.filter("all", lambda one: far(one["mean"], known[one["cluster"]]) > 1e-9))
+    told = rows.select(F.size("all").alias("k"), (far(F.col("x"), own["mean"]) > least + 1e-5).alias("elsewhere"), off.alias("off"))
+    return told.agg(
+        F.max("k").cast("bigint").alias("clusters"), F.count(F.lit(1)).alias("trips"), F.count_if("elsewhere").alias("nearer_elsewhere"), F.max("off").cast("bigint").alias("centres_off")
+    )
+
+
 @check("m11_cluster_and_describe")
 def cluster_and_describe(spark, folder):
-    return clustering.fit_clusters(_trips(spark, folder), restarts=2).statistics
+    return clustering.fit_clusters(_trips(spark, folder)).statistics
 
 
 @check("m12_sweep_k")
 def sweep_k(spark, folder):
     study = add_study_features(fx.trips(spark, folder))
-    return clustering.sweep_clusters(study, ks=range(2, 6), restarts=1)
+    return clustering.sweep_clusters(study)
 
 
 @check("m14_principal_plane")
