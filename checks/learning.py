@@ -162,8 +162,8 @@ def compare_classifiers(spark, folder):
     train, test = classify.classification_rows(rows, KEY, stratified=True)
     arms = {
         "random_forest": classify.forest_classifier(TREES, DEPTH, 1),
-        "gradient_boosting": classify.boosted_classifier(3, 3, 0.1),
-        "deep_gradient_boosting": classify.boosted_classifier(3, 5, 0.3),
+        "gradient_boosting": classify.boosted_classifier(5),
+        "second_order_boosting": classify.second_order_classifier(5),
     }
     scores, _ = classify.compare_classifiers(train, test, CATEGORICAL, NUMERIC, arms)
     return scores
@@ -226,7 +226,7 @@ def select_regressor_by_category(spark, folder):
         "linear_regression": regress.linear_regressor(),
         "random_forest": regress.forest_regressor(TREES, DEPTH),
         "gradient_boosting": regress.boosted_regressor(3, 3, 0.1),
-        "deep_gradient_boosting": regress.boosted_regressor(3, 5, 0.3),
+        "second_order_boosting": regress.second_order_regressor(5),
     }
     rows = _guessed(spark, folder).select(KEY, "fare_amount", "predicted_fare_category", *CATEGORICAL, *NUMERIC)
     _, table = regress.select_by_category(rows.persist(), KEY, CATEGORICAL, NUMERIC, arms=arms)
@@ -252,7 +252,7 @@ def top_importances(spark, folder):
     return regress.feature_importances(regress.fit_regressor(train, CATEGORICAL, NUMERIC, _forest()), 5, spark)
 
 
-SMALL_GRID = {"trees": [3, 6], "depth": [3, 5], "min_rows": [2]}
+SMALL_GRID = {"trees": [5, 10, 20], "depth": [5, 10], "min_rows": [2, 5, 10]}
 
 
 def _medium(spark, folder):
@@ -263,14 +263,14 @@ def _medium(spark, folder):
 @check("m25_grid_search")
 def grid_search(spark, folder):
     train, _ = _medium(spark, folder)
-    _, table = selection.grid_search(train, KEY, CATEGORICAL, NUMERIC, SMALL_GRID, folds=2)
+    _, table = selection.grid_search(train, KEY, CATEGORICAL, NUMERIC, SMALL_GRID)
     return table
 
 
 @check("m26_tuned_against_default")
 def tuned_against_default(spark, folder):
     train, test = _medium(spark, folder)
-    tuned, _ = selection.grid_search(train, KEY, CATEGORICAL, NUMERIC, {"trees": [6], "depth": [3, 5], "min_rows": [2]}, folds=2)
+    tuned, _ = selection.grid_search(train, KEY, CATEGORICAL, NUMERIC, {"trees": [5, 10], "depth": [5, 10], "min_rows": [2]})
     default = regress.fit_regressor(train, CATEGORICAL, NUMERIC, regress.forest_regressor(TREES, DEPTH), "mode")
     return selection.compare_tuned(test, tuned, default)
 
@@ -279,18 +279,18 @@ def tuned_against_default(spark, folder):
 def cross_validation(spark, folder):
     rows = _guessed(spark, folder).select(KEY, "fare_amount", "predicted_fare_category", *CATEGORICAL, *NUMERIC)
     estimators = {name: regress.forest_regressor(4, 4) for name in schema.FARE_LABELS}
-    scores = selection.cross_validate_categories(rows, KEY, CATEGORICAL, NUMERIC, estimators, folds=3)
+    scores = selection.cross_validate_categories(rows, KEY, CATEGORICAL, NUMERIC, estimators)
     return selection.summarise_folds(scores)
 
 
 @check("m28_learning_curve")
 def learning_curve(spark, folder):
     rows = _guessed(spark, folder).filter("predicted_fare_category = 'medium'").select(KEY, "fare_amount", *CATEGORICAL, *NUMERIC)
-    return selection.learning_curve(rows, KEY, CATEGORICAL, NUMERIC, regress.forest_regressor(4, 4), (10.0, 55.0, 100.0), folds=2)
+    return selection.learning_curve(rows, KEY, CATEGORICAL, NUMERIC, regress.forest_regressor(4, 4))
 
 
 SETTINGS = training.TrainingSettings(
-    trees=5, class_depth=4, fare_depth=4, restarts=1, folds=2, pickup="pickup_datetime", key=KEY
+    trees=5, class_depth=4, fare_depth=4, pickup="pickup_datetime", key=KEY
 )
 
 

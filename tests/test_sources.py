@@ -35,6 +35,27 @@ def test_weather_skips_files_that_do_not_fit(spark, tmp_path):
     assert weather.weather_in_years(table, 2022, 2024).count() == 2
 
 
+def test_weather_jobs_do_not_grow_with_the_files(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"ny_{i:02d}.csv").write_text('date,temp,"wind, gusts"\n' + "".join(f"2022-01-{d:02d},{i if i else 0.5},{d}\n" for d in range(1, i + 2)))
+    (tmp_path / "ny_99.csv").write_text("\n")
+    (tmp_path / "ny_98.csv").write_text("a,A\n1,2\n")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spark.sparkContext.setJobGroup("weather", "")
+        table, report = weather.load_weather(spark, str(tmp_path))
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("weather"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 4  # one lists the files, one reads headers, one values
+    assert table.dtypes == [("date", "date"), ("temp", "double"), ("wind, gusts", "int")]
+    status = {r.file: (r.status, r.rows) for r in report.collect()}
+    assert status.pop("ny_99.csv") == ("skipped: no columns", 0) and status.pop("ny_98.csv") == ("skipped: repeated columns", 0)
+    assert status == {f"ny_{i:02d}.csv": ("loaded", i + 1) for i in range(12)}
+    assert table.count() == sum(range(1, 13)) and table.agg(F.sum("temp")).first()[0] == 0.5 + sum(i * (i + 1) for i in range(1, 12))
+
+
 def test_no_weather_files(spark, tmp_path):
     table, report = weather.load_weather(spark, str(tmp_path))
     assert table is None and report.count() == 0
