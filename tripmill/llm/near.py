@@ -199,7 +199,7 @@ def _grouped(docs: DataFrame, key: str, text: str, words: int, similarity: float
     roots = Table(components(edges[0].rows.unionByName(edges[1].rows)))
 
     if dense.rows.limit(1).count():
-        crowded = dense.rows.join(classes.rows.select("shingles", "print"), "shingles")
+        crowded = dense.rows.join(classes.rows.select("shingles", "print", "blocks"), "shingles")
         crowded = crowded.join(roots.rows.withColumnRenamed("node", "shingles"), "shingles", "left").withColumn("root", F.coalesce("root", "shingles"))
         texts = texts_for(dense.rows.select("shingles"))
         placed = Table(crowded.join(_bits(texts.rows, words), "shingles"))
@@ -207,13 +207,15 @@ def _grouped(docs: DataFrame, key: str, text: str, words: int, similarity: float
         main = Table(placed.rows.groupBy("value", "root").count().groupBy("value").agg(F.max_by("root", F.struct("count", "root")).alias("main")))
         apart = Table(
             placed.rows.join(main.rows, "value").where("root <> main").select(
-                F.col("shingles").alias("a"), F.col("print").alias("print_a"), F.col("root").alias("root_a"), F.col("bits").alias("bits_a"), "value"
+                F.col("shingles").alias("a"), F.col("print").alias("print_a"), F.col("root").alias("root_a"), F.col("bits").alias("bits_a"), F.col("blocks").alias("blocks_a"), "value"
             )
         )
         main.drop()
         near = F.bit_count(F.col("print").bitwiseXOR(F.col("print_a"))) <= MOST_BITS
         different = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits_a")[i])) for i in range(1, SKETCH_BITS // 64)), F.bit_count(F.col("bits")[0].bitwiseXOR(F.col("bits_a")[0])))
-        met = placed.rows.join(apart.rows, [placed.rows["value"] == apart.rows["value"], F.col("root") != F.col("root_a"), near, different <= MOST_DIFFERENT])
+        # A pair meets in the least block that both share only; if that is no crowded one, the second round compared it.
+        once = F.array_min(F.array_intersect("blocks", "blocks_a")) == placed.rows["value"]
+        met = placed.rows.join(apart.rows, [placed.rows["value"] == apart.rows["value"], F.col("root") != F.col("root_a"), near, different <= MOST_DIFFERENT, once])
         more = met.select(*_pair("a", "shingles")).distinct()
         for tested in (first, pairs):
             more = more.join(tested.rows, ["a", "b"], "left_anti")
