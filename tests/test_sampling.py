@@ -39,6 +39,19 @@ def test_ties_of_the_key_do_not_change_the_size(spark, monkeypatch):
     assert sampling.sample_rows(df, 100, "key").count() == 100
 
 
+def test_random_rows_of_large_samples_stay_spread(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "TOP_ROWS", 100)
+    rows = spark.range(5_000).repartition(4)
+    whole = sampling.random_rows(rows, 2_000_000_000, 1)
+    part = sampling.random_rows(rows, 3_000, 1)
+    for found, n in ((whole, 5_000), (part, 3_000)):
+        assert found.distinct().count() == found.count() == n
+    assert "Limit" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    held = part.rdd.mapPartitions(lambda some: [sum(1 for _ in some)]).collect()
+    assert max(held) < 3_000
+    assert part.columns == ["id"] and 2_300 < part.agg({"id": "avg"}).first()[0] < 2_700
+
+
 def test_random_rows(spark):
     assert sampling.random_rows(spark.range(50), 20, 1).distinct().count() == 20
     assert sampling.random_rows(spark.range(50), 80).count() == 50

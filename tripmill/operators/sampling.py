@@ -9,14 +9,25 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.hashing import hash48, hash_bucket
 from tripmill.operators.quantiles import nth_smallest
+from tripmill.session import cut_lineage
 
 # Up to this many rows the top-n operator of the plan does the work.
 TOP_ROWS = 100_000
+DRAW = "__draw"
 
 
 def random_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
     """Any n rows, or all when there are fewer."""
-    return df.orderBy(F.rand(seed)).limit(n)
+    if n <= TOP_ROWS:
+        return df.orderBy(F.rand(seed)).limit(n)
+    if n >= df.count():
+        return df
+    # Drawn once and written, so that the cut and the rows know the same numbers.
+    drawn = cut_lineage(df.withColumn(DRAW, F.rand(seed)))
+    cut = F.lit(nth_smallest(drawn, F.lit("all"), F.col(DRAW), lambda _: n - 1)["all"])
+    below = drawn.filter(F.col(DRAW) < cut)
+    ties = drawn.filter(F.col(DRAW) == cut).limit(n - below.count())
+    return below.unionByName(ties).drop(DRAW)
 
 
 def sample_rows(df: DataFrame, n: int, key: str) -> DataFrame:
