@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from tripmill.models import forests, prep, regress, selection
+from tripmill.models import classify, forests, prep, regress, selection
 
 KINDS = ["id % 20 AS n", "IF(id % 3 = 0, 'a', 'b') AS kind", "CAST(id AS STRING) AS key"]
 FARE = "CAST(3 * (id % 20) + 10 * (id % 3) + pmod(xxhash64(id), 1000) / 100.0 AS DOUBLE) AS fare_amount"
@@ -64,3 +65,23 @@ def test_many_cells_are_rows(fares, fitted, monkeypatch):
 def test_search_grows_on_cells(fares, fitted):
     _, table = selection.grid_search(fares, "key", ["kind"], ["n"], {"trees": [2, 3], "depth": [4], "min_rows": [2]}, folds=2)
     assert max(fitted) <= 40 and table.count() == 2
+
+
+def test_rows_of_one_file_are_dealt_to_all_cores(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(forests, "MOST_CELLS", 10)
+    names = [f"x{i}" for i in range(12)]
+    numbers = [f"xxhash64(id, {i}) / 1e18D AS {name}" for i, name in enumerate(names)]
+    spark.range(300_000).selectExpr(*numbers, "IF(id % 3 = 0, 'low', 'high') AS fare_category", "id % 91 + 0.5D AS fare_amount").coalesce(1).write.parquet(str(tmp_path / "one"))
+    rows, held = spark.read.parquet(str(tmp_path / "one")), []
+
+    def look(self, df):
+        held.append(df.rdd.mapPartitions(lambda some: [sum(1 for _ in some)]).collect())
+        raise InterruptedError
+
+    for kind, fit in ((RandomForestRegressor, regress.fit_regressor), (RandomForestClassifier, classify.fit_classifier)):
+        monkeypatch.setattr(kind, "_fit", look)
+        estimator = regress.forest_regressor(1, 2) if kind is RandomForestRegressor else classify.forest_classifier(1, 2)
+        with pytest.raises(InterruptedError):
+            fit(rows, [], names, estimator)
+    assert [sum(counts) for counts in held] == [300_000, 300_000]
+    assert all(sum(n > 0 for n in counts) >= 4 for counts in held)
