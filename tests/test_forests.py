@@ -85,3 +85,65 @@ def test_rows_of_one_file_are_dealt_to_all_cores(spark, tmp_path, monkeypatch):
             fit(rows, [], names, estimator)
     assert [sum(counts) for counts in held] == [300_000, 300_000]
     assert all(sum(n > 0 for n in counts) >= 4 for counts in held)
+
+
+@pytest.fixture
+def scans(monkeypatch):
+    """How often rows were made cells, and the models fitted on cells."""
+    count, models, cells, fit = [], [], forests.cells, regress.fit_on_cells
+    monkeypatch.setattr(forests, "cells", lambda *a: (count.append(1), cells(*a))[1])
+    monkeypatch.setattr(regress, "fit_on_cells", lambda *a, **k: (models.append(fit(*a, **k)), models[-1])[1])
+    return count, models
+
+
+def test_search_reads_rows_once_for_all_folds(fares, scans, monkeypatch):
+    first = selection.first_trees
+    kept = []
+    monkeypatch.setattr(selection, "first_trees", lambda model, *a: (kept.append(model), first(model, *a))[1])
+    monkeypatch.setattr(selection, "errors_by_trees", None)
+    _, table = selection.grid_search(fares, "key", ["kind"], ["n"], {"trees": [2, 3], "depth": [4], "min_rows": [2]}, folds=3, parallelism=1)
+    assert len(scans[0]) == 1 and len(kept) == 3
+    parts, errors = selection.with_folds(fares, "key", 3), []
+    for fold, forest in enumerate(kept):
+        held, others = parts.filter(f"{selection.FOLD} = {fold}"), parts.filter(f"{selection.FOLD} <> {fold}")
+        features = prep.TripFeatures(["kind"], ["n"], regress.FEATURES, categorical_strategy="mode").fit(others)
+        errors.append(forest.transform(features.transform(held)).selectExpr(f"avg(abs({regress.PREDICTED} - fare_amount)) m").first().m)
+    assert table.filter("trees = 3").first().mae == pytest.approx(sum(errors) / 3)
+
+
+def test_folds_read_rows_once(fares, scans):
+    scores = selection.cross_validate(fares, "key", ["kind"], ["n"], regress.forest_regressor(2, 4), 3).collect()
+    assert len(scans[0]) == 1
+    parts = selection.with_folds(fares, "key", 3)
+    for row, model in zip(scores, scans[1], strict=True):
+        want = regress.score(model, parts.filter(f"{selection.FOLD} = {row.fold}")).first()
+        assert [row.mae, row.rmse, row.r2] == pytest.approx([want.mae, want.rmse, want.r2])
+
+
+def test_curve_reads_rows_once(fares, scans):
+    curve = selection.learning_curve(fares, "key", ["kind"], ["n"], regress.forest_regressor(2, 4), (100.0, 32.5), 2).collect()
+    assert len(scans[0]) == 1 and [r.percent for r in curve] == [32.5, 100.0]
+    place = selection.fold_number(F.concat_ws(":", F.lit("curve"), F.col("key")), 1000)
+    parts = selection.with_folds(fares, "key", 2).withColumn("place", place)
+    for row, models in zip(curve, (scans[1][:2], scans[1][2:]), strict=True):
+        held = [regress.score(m, parts.filter(f"{selection.FOLD} = {f}")).first().mae for f, m in enumerate(models)]
+        seen = [regress.score(m, parts.filter(f"{selection.FOLD} <> {f} AND place < {row.percent * 10}")).first().mae for f, m in enumerate(models)]
+        assert [row.train_mae_mean, row.test_mae_mean] == pytest.approx([sum(seen) / 2, sum(held) / 2])
+
+
+@pytest.mark.parametrize("numeric", ["median", "mean"])
+def test_features_of_cells_are_those_of_their_rows(spark, numeric):
+    rows = spark.range(999).selectExpr("IF(id % 7 = 0, NULL, CASE WHEN id % 5 < 2 THEN 'a' WHEN id % 5 < 4 THEN 'b' ELSE 'c' END) kind", "IF(id % 11 = 0, NULL, pmod(id * id, 13)) n")
+    cells = rows.groupBy("kind", "n").agg(F.count("*").alias("rows"))
+    one = prep.TripFeatures(["kind"], ["n"], "v", numeric, "mode").fit(rows).transform(cells)
+    two = prep.TripFeatures(["kind"], ["n"], "w", numeric, "mode", "rows").fit(cells).transform(one)
+    assert two.count() > 30
+    for row in two.select("v", "w").collect():
+        assert row.v.toArray() == pytest.approx(row.w.toArray())
+
+
+def test_forest_by_category_learns_from_cells(fares, monkeypatch):
+    monkeypatch.setattr(prep, "quantiles", None)
+    rows = fares.withColumn("fare_category", F.expr("IF(n < 10, 'low', 'high')"))
+    _, scores = regress.fit_by_category(rows, "key", ["kind"], ["n"], trees=2, depth=4)
+    assert sorted(r.category for r in scores.collect()) == ["high", "low"]
