@@ -59,3 +59,12 @@ def test_crowded_block_joins_texts_with_a_repeated_word(documents, monkeypatch):
         text = " ".join(f"v{draw.randrange(5000)}" for _ in range(84))
         rows += [(i, text, "en", "s", 0), (i + 1, text + " same" * 24, "en", "s", 0)]
     assert sorted(r["doc_id"] for r in near.deduplicate(documents(rows)).collect()) == [0, 10, 12, 14, 16]
+
+
+def test_texts_are_shuffled_compressed(documents):
+    words = " ".join(f"word{i % 97}" for i in range(3_000))
+    texts = [words, "", None, "naïve 東京 \U0001f600", "\x00"]
+    packed = near._packed(documents([(i, t, "en", "s", 0) for i, t in enumerate(texts)]).select("doc_id", F.col("text").alias("text__")))
+    found = {r["doc_id"]: r["text__"] for r in packed.collect()}
+    assert [near.unpacked(found[i]) for i in range(len(texts))] == texts
+    assert len(found[0]) < len(words) / 10

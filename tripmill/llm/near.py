@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import BinaryType, MapType, StructField, StructType
 
 from tripmill.llm import simhash
 from tripmill.llm.common import Table, hold_nothing, per_text, ship, written
@@ -65,6 +65,30 @@ def row_hashes(docs: DataFrame) -> list[Column]:
     return [F.xxhash64(F.lit(i), *[F.col(c) for c in columns]).alias(f"row{i}__") for i in (1, 2)]
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """The rows with ``text__`` compressed: texts are shuffled several times, and a shuffle's own compression leaves half as much again."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_nothing()
+        codec = pa.Codec("zstd")
+        for batch in batches:
+            at = batch.schema.get_field_index("text__")
+            texts = [text.as_buffer() for text in batch.column(at)]
+            made = [None if t is None else t.size.to_bytes(8, "little") + codec.compress(t, asbytes=True) for t in texts]
+            yield batch.set_column(at, "text__", pa.array(made, pa.binary()))
+
+    ship(rows.sparkSession)
+    kinds = [StructField(f.name, BinaryType() if f.name == "text__" else f.dataType) for f in rows.schema]
+    return rows.mapInArrow(packed, StructType(kinds))
+
+
+def unpacked(packed: bytes | None) -> str | None:
+    """The text that ``_packed`` compressed."""
+    if packed is None:
+        return None
+    return pa.Codec("zstd").decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True).decode()
+
+
 def _sketches(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     def make():
         hold_nothing()
@@ -88,7 +112,7 @@ def _bits(texts: DataFrame, words: int) -> DataFrame:
         factors = _factors(SKETCH_BITS)
 
         def one(text):
-            least = min_wise(np.unique(simhash.hashes_of(text, words)), factors)
+            least = min_wise(np.unique(simhash.hashes_of(unpacked(text), words)), factors)
             return (np.packbits((least >> np.uint64(32) & np.uint64(1)).astype(np.uint8)).view("<i8").tolist(),)
 
         return one
@@ -107,8 +131,8 @@ def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
             keep = []
             for b, left, right in zip(batch.column("b").to_pylist(), batch.column("left"), batch.column("right"), strict=True):
                 if b != last:
-                    last, shingles = b, set(simhash.shingles_of(right.as_py(), words)[0])
-                other = set(simhash.shingles_of(left.as_py(), words)[0])
+                    last, shingles = b, set(simhash.shingles_of(unpacked(right.as_py()), words)[0])
+                other = set(simhash.shingles_of(unpacked(left.as_py()), words)[0])
                 both = len(shingles & other)
                 keep.append(both >= similarity * (len(shingles) + len(other) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -140,7 +164,7 @@ def _grouped(docs: DataFrame, key: str, text: str, words: int, similarity: float
     rows = keep(_sketches(docs, key, text, words))
     rank = F.struct(F.col("id__").isNull().alias("none"), F.col("id__").alias("id"), F.col("row1__").alias("row1"), F.col("row2__").alias("row2"))
     classes = Table(rows.groupBy("shingles").agg(F.min(F.struct(rank.alias("rank"), "print", "blocks")).alias("best")).select("shingles", "best.*"))
-    named = docs.select(*row_hashes(docs), F.col(text).alias("text__"))
+    named = _packed(docs.select(*row_hashes(docs), F.col(text).alias("text__")))
 
     def texts_for(used: DataFrame) -> Table:
         used = used.distinct().join(classes.rows, "shingles").select("shingles", F.col("rank.row1").alias("row1__"), F.col("rank.row2").alias("row2__"))
