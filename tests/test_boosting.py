@@ -167,3 +167,31 @@ def test_arms_save_load_and_score_without_python(spark, small, tmp_path):
     assert regress.score(model, rows).first().r2 > 0.95
     table = {r.feature: r.importance for r in regress.feature_importances(model, spark=spark).collect()}
     assert sum(table.values()) == pytest.approx(1) and table["a"] > 0.3
+
+
+@pytest.mark.parametrize("order", [1, 2])
+@pytest.mark.parametrize("loss", ["softmax", "squared"])
+def test_cells_boost_as_their_rows_do(spark, order, loss):
+    draw = random.Random(6)
+    rows = spark.createDataFrame([([float(draw.randrange(4)), float(draw.randrange(3))], float(draw.randrange(3)), draw.gauss(0, 3)) for _ in range(400)], "x array<double>, label double, noise double")
+    rows = rows.select(array_to_vector("x").alias("f"), "x", "label", (F.col("noise") + F.element_at("x", 1) * 2).alias("fare"))
+    label = "label" if loss == "softmax" else "fare"
+    if loss == "softmax":
+        cells = rows.groupBy("x", "label").agg(F.count("*").alias("n"))
+    else:
+        cells = rows.groupBy("x").agg(F.count("*").alias("n"), F.avg("fare").alias("fare"))
+    made = BoostedTrees("f", label, "p", loss, order, rounds=8, depth=3, rate=0.3)
+    one = made.fit(rows)
+    two = made.on_cells("n").fit(cells.withColumn("f", array_to_vector("x")))
+    names = [f"p_score{k}__" for k in range(3)] if loss == "softmax" else ["p"]
+    found = [np.array([list(r) for r in model.transform(rows).orderBy("x", "label", "fare").select(*names).collect()]) for model in (one, two)]
+    np.testing.assert_allclose(*found, atol=1e-9)
+
+
+def test_weighted_cuts_are_quantiles_of_rows():
+    made = BoostedTrees("f", "y", "p", bins=8)
+    values = np.array([float(i * i) for i in range(30)])
+    weights = np.array([1 + i % 5 for i in range(30)])
+    taken = np.unique(np.quantile(np.repeat(values, weights), np.arange(9) / 8, method="inverted_cdf"))
+    np.testing.assert_allclose(made._cuts_of(values, weights), (taken[1:] + taken[:-1]) / 2)
+    np.testing.assert_allclose(made._cuts_of(values[:5], weights[:5]), [0.5, 2.5, 6.5, 12.5])

@@ -35,6 +35,16 @@ ACCURACY = 10_000
 LEAST_GAIN, LEAST_CURVATURE = 1e-6, 1e-16
 
 
+@dataclass
+class Cells:
+    """Rows held at once: labels, bins, scores and how many rows each stands for."""
+
+    y: np.ndarray
+    bins: np.ndarray
+    scores: np.ndarray
+    weights: np.ndarray
+
+
 @dataclass
 class Tree:
     """Nodes in arrays; a leaf has feature -1. Rows with a bin up to ``cut`` go left. ``sums``: rows, residuals, curvatures."""
@@ -83,19 +93,27 @@ class BoostedTrees(Estimator):
     ``penalty`` is added to a leaf's curvature and ``least_weight`` is the curvature that a leaf must have, both for
     second order. Cut points are the midpoints of neighbouring values of a column; of a column with more than ``bins``
     values, of its quantiles. Ties go to the first column and the lowest cut. Rows without a label are left out; no
-    rows at all are an error. Features must be numbers, as ``TripFeatures`` gives them.
+    rows at all are an error. Features must be numbers, as ``TripFeatures`` gives them. With ``weight``, a column of
+    numbers of rows, the rows given are few cells, which the driver holds: of residuals and curvatures only sums count, so
+    the trees are those of the rows (of numbers, a cell has the mean).
     """
 
     def __init__(
         self, features: str, label: str, prediction: str, loss: str = "softmax", order: int = 1, rounds: int = 100, depth: int = 3,
-        rate: float = 0.1, bins: int = 64, penalty: float = 1.0, least_weight: float = 1.0,
+        rate: float = 0.1, bins: int = 64, penalty: float = 1.0, least_weight: float = 1.0, weight: str | None = None,
     ):
         super().__init__()
         if loss not in ("softmax", "squared") or order not in (1, 2) or not 2 <= bins <= 1_024:
             raise ValueError(f"loss {loss}, order {order}, bins {bins}")
         self.features, self.label, self.prediction = features, label, prediction
         self.loss, self.order, self.rounds, self.depth, self.rate = loss, order, rounds, depth, rate
-        self.bins, self.penalty, self.least_weight = bins, penalty, least_weight
+        self.bins, self.penalty, self.least_weight, self.weight = bins, penalty, least_weight, weight
+
+    def on_cells(self, weight: str) -> BoostedTrees:
+        """The same on rows that stand for as many as ``weight`` says."""
+        return BoostedTrees(
+            self.features, self.label, self.prediction, self.loss, self.order, self.rounds, self.depth, self.rate, self.bins, self.penalty, self.least_weight, weight
+        )
 
     # What a row, a leaf and a split are worth.
 
@@ -172,7 +190,7 @@ class BoostedTrees(Estimator):
 
         return rows.mapInArrow(scored, rows.schema)
 
-    def _sums(self, rows: DataFrame, rounds: list[list[Tree]], growing: list[Tree], open_: list[list[int]], width: int) -> np.ndarray:
+    def _sums(self, rows: DataFrame | Cells, rounds: list[list[Tree]], growing: list[Tree], open_: list[list[int]], width: int) -> np.ndarray:
         """Sums by tree, open node, column, bin and kind; one aggregate over the rows."""
         most, bins = max(map(len, open_)), self.bins + 1
         shape = (len(growing), most, width, bins)
@@ -182,20 +200,29 @@ class BoostedTrees(Estimator):
             place[nodes] = np.arange(len(nodes))
             places.append(place)
 
+        def add(total: np.ndarray, binned: np.ndarray, scores: np.ndarray, y: np.ndarray, times: np.ndarray | None = None) -> None:
+            residual, curvature = self.slopes(y, scores)
+            if times is not None:
+                residual, curvature = residual * times[:, None], curvature * times[:, None]
+            for k, tree in enumerate(growing):
+                place = places[k][tree.leaves(binned)]
+                here = place >= 0
+                slot = (((k * most + place[here])[:, None] * width + np.arange(width)) * bins + binned[here]).ravel()
+                low, high = k * most * width * bins, (k + 1) * most * width * bins
+                weights = [None if times is None else times[here], residual[here, k], curvature[here, k]]
+                for kind, weight in enumerate(weights):
+                    spread = None if weight is None else np.repeat(weight, width)
+                    total[kind, low:high] += np.bincount(slot - low, spread, minlength=high - low)
+
+        if isinstance(rows, Cells):
+            whole = np.zeros((3, int(np.prod(shape))))
+            add(whole, rows.bins, rows.scores, rows.y, rows.weights)
+            return whole.T.reshape(*shape, 3)
+
         def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros((3, int(np.prod(shape))))
             for batch in batches:
-                binned, scores = _now(batch, rounds)
-                residual, curvature = self.slopes(batch.column("y").to_numpy(), scores)
-                for k, tree in enumerate(growing):
-                    place = places[k][tree.leaves(binned)]
-                    here = place >= 0
-                    slot = (((k * most + place[here])[:, None] * width + np.arange(width)) * bins + binned[here]).ravel()
-                    low, high = k * most * width * bins, (k + 1) * most * width * bins
-                    weights = [None, residual[here, k], curvature[here, k]]
-                    for kind, weight in enumerate(weights):
-                        spread = None if weight is None else np.repeat(weight, width)
-                        total[kind, low:high] += np.bincount(slot - low, spread, minlength=high - low)
+                add(total, *_now(batch, rounds), batch.column("y").to_numpy())
             used = np.flatnonzero(total[0])
             for start in range(0, len(used), 10_000):
                 part = used[start : start + 10_000]
@@ -207,7 +234,7 @@ class BoostedTrees(Estimator):
         sums[table.column("slot").to_numpy()] = np.stack([table.column(c).to_numpy() for c in ("n", "g", "h")], axis=1)
         return sums.reshape(*shape, 3)
 
-    def _round(self, rows: DataFrame, rounds: list[list[Tree]], trees: int, cuts: list[np.ndarray]) -> list[Tree]:
+    def _round(self, rows: DataFrame | Cells, rounds: list[list[Tree]], trees: int, cuts: list[np.ndarray]) -> list[Tree]:
         growing = [Tree() for _ in range(trees)]
         for tree in growing:
             tree.add(0.0, (0.0, 0.0, 0.0))
@@ -233,6 +260,8 @@ class BoostedTrees(Estimator):
 
     def boost(self, df: DataFrame) -> tuple[list[float], list[list[Tree]], list[np.ndarray]]:
         """Start scores, the trees of every round and the cut points of every column."""
+        if self.weight is not None:
+            return self._boost_cells(df)
         rows = df.where(F.col(self.label).isNotNull()).select(F.col(self.label).cast("double").alias("y"), vector_to_array(F.col(self.features)).alias("x"))
         head = rows.first()
         if head is None:
@@ -254,6 +283,37 @@ class BoostedTrees(Estimator):
             grown.append(self._round(state, grown[number - since :], len(start), cuts))
         return start, grown, cuts
 
+    def _boost_cells(self, df: DataFrame) -> tuple[list[float], list[list[Tree]], list[np.ndarray]]:
+        known = df.where(F.col(self.label).isNotNull())
+        table = known.select(F.col(self.label).cast("double").alias("y"), vector_to_array(F.col(self.features)).alias("x"), F.col(self.weight).cast("double").alias("n")).toArrow()
+        if not len(table):
+            raise ValueError("no rows to fit on")
+        y, x, n = table.column("y").to_numpy(), _rows_of(table.column("x").combine_chunks(), np.float64), table.column("n").to_numpy()
+        order = np.lexsort((y, *x.T))
+        y, x, n = y[order], x[order], n[order]
+        if self.loss == "softmax":
+            share = np.bincount(y.astype(np.int64), n) / n.sum()
+            start = [float(np.log(max(one, 1e-15))) if self.order == 1 else 0.0 for one in share]
+        else:
+            start = [float((y * n).sum() / n.sum())]
+        cuts = [self._cuts_of(column, n) for column in x.T]
+        bins = np.stack([np.searchsorted(points, column, "left") for points, column in zip(cuts, x.T, strict=True)], axis=1)
+        cells, grown = Cells(y, bins, np.tile(np.array(start), (len(y), 1)), n), []
+        for _ in range(self.rounds):
+            grown.append(self._round(cells, [], len(start), cuts))
+            for k, tree in enumerate(grown[-1]):
+                cells.scores[:, k] += tree.scores(bins)
+        return start, grown, cuts
+
+    def _cuts_of(self, column: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Cut points of weighted values: between all of few ones, else between their quantiles."""
+        values, place = np.unique(column, return_inverse=True)
+        if len(values) > self.bins:
+            upto = np.cumsum(np.bincount(place, weights))
+            ranks = np.ceil(np.arange(self.bins + 1) / self.bins * upto[-1])
+            values = np.unique(values[np.minimum(np.searchsorted(upto, ranks, "left"), len(values) - 1)])
+        return (values[1:] + values[:-1]) / 2
+
     def _fit(self, df: DataFrame):
         start, grown, cuts = self.boost(df)
         spark, names = df.sparkSession, [f"{self.prediction}_score{k}__" for k in range(len(start))]
