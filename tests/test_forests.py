@@ -7,7 +7,10 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
+from checks import learning
 from tripmill.models import classify, forests, prep, regress, selection
+from tripmill.operators import metrics
+from tripmill.operators.sampling import split
 
 KINDS = ["id % 20 AS n", "IF(id % 3 = 0, 'a', 'b') AS kind", "CAST(id AS STRING) AS key"]
 FARE = "CAST(3 * (id % 20) + 10 * (id % 3) + pmod(xxhash64(id), 1000) / 100.0 AS DOUBLE) AS fare_amount"
@@ -147,3 +150,55 @@ def test_forest_by_category_learns_from_cells(fares, monkeypatch):
     rows = fares.withColumn("fare_category", F.expr("IF(n < 10, 'low', 'high')"))
     _, scores = regress.fit_by_category(rows, "key", ["kind"], ["n"], trees=2, depth=4)
     assert sorted(r.category for r in scores.collect()) == ["high", "low"]
+
+
+def test_many_trees_draw_in_several_scans(fares, monkeypatch):
+    monkeypatch.setattr(forests, "SCANNED", 2)
+    gaps = fares.withColumn("kind", F.expr("IF(n = 3, NULL, kind)"))
+    table = forests.cells(gaps, ["kind", "n"], "fare_amount", 5, 42)
+    assert table.columns[-2:] == ["w4", "s4"] and table.count() == gaps.select("kind", "n").distinct().count()
+    sums = table.agg(F.sum(forests.ROWS), F.sum(forests.TOTAL), *[F.sum(f"w{n}") for n in range(5)]).first()
+    assert sums[0] == 6_000 and sums[1] == pytest.approx(fares.agg(F.sum("fare_amount")).first()[0])
+    assert all(abs(total - 6_000) < 400 for total in sums[2:]) and len(set(sums[2:])) == 5
+
+
+def test_classifiers_are_compared_on_cells(fares, monkeypatch):
+    counts, fit = [], RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, df: (counts.append(df.count()), fit(self, df))[1])
+    rows = fares.withColumn("fare_category", F.expr("CASE WHEN n < 7 OR xxhash64(key) % 9 = 0 THEN 'low' WHEN n < 14 THEN 'medium' ELSE 'high' END"))
+    train, test = classify.classification_rows(rows, "key")
+    arms = {"random_forest": classify.forest_classifier(6, 6, 2), "gradient_boosting": classify.boosted_classifier(8), "second_order_boosting": classify.second_order_classifier(4)}
+    scores, models = classify.compare_classifiers(train, test, ["kind"], ["n"], arms)
+    assert len(counts) == 6 and max(counts) <= 120
+    assert models["random_forest"].stages[1].getNumTrees == 6
+    for r in scores.collect():
+        scored = classify.classify(models[r.classifier], test)
+        want = [of(scored, classify.LABEL, classify.PREDICTED).first()[0] for of in (metrics.accuracy, metrics.weighted_f1)]
+        assert [r.accuracy, r.weighted_f1] == pytest.approx(want) and r.accuracy > 0.8
+
+
+def test_regressors_are_selected_on_cells(fares, fitted, monkeypatch):
+    rows = fares.withColumn("predicted_fare_category", F.expr("IF(n < 10, 'low', 'high')"))
+    arms = {"linear_regression": regress.linear_regressor(), "random_forest": regress.forest_regressor(3, 4), "gradient_boosting": regress.boosted_regressor(5), "second_order_boosting": regress.second_order_regressor(3)}
+    best, table = regress.select_by_category(rows, "key", ["kind"], ["n"], arms=arms)
+    found = {(r.category, r.regressor): r for r in table.collect()}
+    assert len(found) == 8 and len(fitted) == 6 and max(fitted) <= 20
+    monkeypatch.setattr(forests, "MOST_CELLS", 1)
+    _, by_rows = regress.select_by_category(rows, "key", ["kind"], ["n"], arms={name: one for name, one in arms.items() if name != "random_forest"})
+    for r in by_rows.collect():
+        one = found[r.category, r.regressor]
+        assert [one.mae, one.rmse, one.r2, one.mape] == pytest.approx([r.mae, r.rmse, r.r2, r.mape])
+    for name, model in best.items():
+        _, test = split(rows.filter(F.col("predicted_fare_category") == name), "key")
+        assert regress.score(model, test).first().mae == pytest.approx(min(r.mae for (c, _), r in found.items() if c == name))
+
+
+def test_regressors_are_selected_at_full_settings(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(regress, "select_by_category", lambda *a, **k: (asked.append(k.get("arms") or regress.default_arms()), (None, None))[1])
+    monkeypatch.setattr(learning, "_guessed", lambda *a: spark.range(1).select(*[F.lit(1).alias(c) for c in (learning.KEY, "fare_amount", "predicted_fare_category", *learning.CATEGORICAL, *learning.NUMERIC)]))
+    learning.select_regressor_by_category(spark, "")
+    arms = asked[0]
+    assert list(arms) == ["linear_regression", "random_forest", "gradient_boosting", "second_order_boosting"]
+    assert arms["random_forest"].getNumTrees() == 100 and arms["random_forest"].getMaxDepth() == regress.DEEPEST
+    assert [(arms[n].rounds, arms[n].depth) for n in list(arms)[2:]] == [(100, 3), (100, 6)]

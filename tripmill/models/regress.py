@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +21,10 @@ from tripmill.session import cut_lineage, spread
 
 FEATURES = "fare_features"
 PREDICTED = "predicted_fare"
+SIDE = "__train"
+_MEASURES = ("mae", "mse", "rmse", "r2", "mape")
+#: What learns the same from cells of equal features, weighted by their rows, as from the rows.
+_CELL_ARMS = (LinearRegression, RandomForestRegressor, BoostedTrees)
 #: The deepest trees that Spark grows stand for trees without a limit.
 DEEPEST = 30
 
@@ -39,11 +43,9 @@ def forest_regressor(
     )
 
 
-def boosted_regressor(rounds: int = 100, depth: int = 3, rate: float = 0.1, seed: int = 42) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol=FEATURES, labelCol=schema.TARGET, predictionCol=PREDICTED,
-        maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed,
-    )
+def boosted_regressor(rounds: int = 100, depth: int = 3, rate: float = 0.1) -> BoostedTrees:
+    """Gradient boosting by least squares: trees on residuals, from the mean on."""
+    return BoostedTrees(FEATURES, schema.TARGET, PREDICTED, "squared", 1, rounds, depth, rate)
 
 
 def second_order_regressor(rounds: int = 100, depth: int = 6, rate: float = 0.3) -> BoostedTrees:
@@ -60,7 +62,7 @@ def default_arms(trees: int = 100, seed: int = 42) -> dict[str, Estimator]:
     return {
         "linear_regression": linear_regressor(),
         "random_forest": forest_regressor(trees, depth=DEEPEST, seed=seed),
-        "gradient_boosting": boosted_regressor(trees, depth=3, rate=0.1, seed=seed),
+        "gradient_boosting": boosted_regressor(trees, depth=3, rate=0.1),
         "second_order_boosting": second_order_regressor(trees),
     }
 
@@ -192,26 +194,87 @@ def select_by_category(
     least: int = 5,
     arms: Mapping[str, Estimator] | None = None,
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Every algorithm per category; the one with the smallest absolute error is kept."""
-    spark = df.sparkSession
+    """Every algorithm per category; the one with the smallest absolute error is kept.
+
+    Where different features are few, all is learnt from cells of equal features, which one scan makes for all categories,
+    and one scan scores the test rows with all algorithms.
+    """
+    arms, spark = arms or default_arms(), df.sparkSession
     sizes = category_sizes(df, category)
+    names = [name for name in schema.FARE_LABELS if sizes.get(name, 0) >= least]
+    inputs = [*categorical, *numeric]
+    if all(isinstance(one, _CELL_ARMS) for one in arms.values()) and forests.few_cells(_usable(df), inputs):
+        best, rows = _select_on_cells(df, key, categorical, numeric, category, names, arms)
+    else:
+        best, rows = _select_on_rows(df, key, categorical, numeric, category, names, arms)
+    measures = "mae double, mse double, rmse double, r2 double, mape double"
+    return best, spark.createDataFrame(rows, f"category string, regressor string, {measures}")
+
+
+def _select_on_rows(df, key, categorical, numeric, category, names, arms) -> tuple[dict[str, PipelineModel], list[tuple]]:
     best, rows = {}, []
-    for name in schema.FARE_LABELS:
-        if sizes.get(name, 0) < least:
-            continue
+    for name in names:
         train, test = split(df.filter(F.col(category) == name), key)
         lowest = None
         # The features are those of the category, whatever the algorithm: they are fitted and written once.
         features, vectors = feature_rows(train, categorical, numeric, "mode")
         vectors = cut_lineage(spread(vectors))
-        for arm, estimator in (arms or default_arms()).items():
+        for arm, estimator in arms.items():
             model = PipelineModel([features, estimator.fit(vectors)])
             found = score(model, test).first()
-            rows.append((name, arm, found["mae"], found["mse"], found["rmse"], found["r2"], found["mape"]))
+            rows.append((name, arm, *[found[m] for m in _MEASURES]))
             if lowest is None or (found["mae"] is not None and found["mae"] < lowest):
                 lowest, best[name] = found["mae"], model
-    measures = "mae double, mse double, rmse double, r2 double, mape double"
-    return best, spark.createDataFrame(rows, f"category string, regressor string, {measures}")
+    return best, rows
+
+
+def _select_on_cells(df, key, categorical, numeric, category, names, arms) -> tuple[dict[str, PipelineModel], list[tuple]]:
+    inputs, by = [*categorical, *numeric], [category, SIDE]
+    train, test = (side.filter(F.col(category).isin(names)) for side in split(df, key))
+    parts = train.withColumn(SIDE, F.lit(True)).unionByName(test.withColumn(SIDE, F.lit(False)))
+    most = max([one.getNumTrees() for one in arms.values() if isinstance(one, RandomForestRegressor)], default=0)
+    table = cells_of(parts, inputs, forest_regressor(max(most, 1), seed=_seed(arms)), by)
+    models, told = {}, []
+    for name in names:
+        mine = table.filter(F.col(category) == name)
+        features, vectors = cell_features(mine.filter(SIDE), categorical, numeric, "mode", by)
+        known = features.transform(mine.select(*inputs, category).distinct()).select(*inputs, category, FEATURES)
+        for number, (arm, estimator) in enumerate(arms.items()):
+            fitted = _fit_on_cells(estimator, vectors)
+            models[name, arm] = PipelineModel([features, fitted])
+            known = fitted.transform(known).withColumnRenamed(PREDICTED, f"p{number}")
+        told.append(cut_lineage(known.drop(FEATURES)))
+        vectors.unpersist()
+    found = {}
+    if told:
+        scored = forests.with_predictions(_usable(test), reduce(DataFrame.unionByName, told), [*inputs, category])
+        each = F.array(*[F.struct(F.lit(arm).alias("regressor"), F.col(f"p{number}").alias(PREDICTED)) for number, arm in enumerate(arms)])
+        long = scored.select(F.col(category).alias("category"), F.col(schema.TARGET).cast("double").alias(schema.TARGET), F.inline(each))
+        found = {(r["category"], r["regressor"]): r for r in regression_metrics(long, schema.TARGET, PREDICTED, "category", "regressor").collect()}
+    best, rows = {}, []
+    for name in names:
+        lowest = None
+        for arm in arms:
+            row = found.get((name, arm))
+            rows.append((name, arm, *[None if row is None else row[m] for m in _MEASURES]))
+            mae = rows[-1][2]
+            if lowest is None or (mae is not None and mae < lowest):
+                lowest, best[name] = mae, models[name, arm]
+    return best, rows
+
+
+def _seed(arms: Mapping[str, Estimator]) -> int:
+    return next((one.getSeed() for one in arms.values() if isinstance(one, RandomForestRegressor)), 42)
+
+
+def _fit_on_cells(estimator: Estimator, vectors: DataFrame) -> Model:
+    """What the algorithm learns from the rows of cells: squares around a cell's mean are the same for every model."""
+    if isinstance(estimator, RandomForestRegressor):
+        return forests.grow(estimator, vectors)
+    means = vectors.select(FEATURES, (F.col(forests.TOTAL) / F.col(forests.ROWS)).alias(schema.TARGET), F.col(forests.ROWS).cast("double").alias(forests.ROWS))
+    if isinstance(estimator, BoostedTrees):
+        return estimator.on_cells(forests.ROWS).fit(means)
+    return estimator.copy().setWeightCol(forests.ROWS).fit(means)
 
 
 def dispatch(df: DataFrame, models: Mapping[str, PipelineModel], category: str = "predicted_fare_category", output: str = PREDICTED) -> DataFrame:
